@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 
 def hash_key(prefix: object, *columns: str) -> Column:
-    """Eight bytes of md5 over ``prefix|col|col...``.
+    """Eight bytes of md5 over ``prefix|col|col...`` (no prefix where it is None).
 
     Sorting by it is a reproducible shuffle: it depends on the values and the
     prefix, never on how the rows happen to be partitioned. Nulls hash as ''.
     """
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    text = F.concat_ws("|", F.lit(str(prefix)), *parts)
+    if prefix is not None:
+        parts = [F.lit(str(prefix)), *parts]
+    text = F.concat_ws("|", *parts)
     return F.unhex(F.substring(F.md5(text), 1, 16))
 
 

@@ -66,7 +66,7 @@ def seed_sweep(
     grid = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed")
     # the seed leads the hashed text, exactly as in a single split
     keyed = counts.select("*", grid).withColumn(
-        "_key", hash_key("", "seed", "user_id", "item_id")
+        "_key", hash_key(None, "seed", "user_id", "item_id")
     )
     loads = activity.select(grid, "user_id", F.col("pairs").alias("load"))
     ranked = hashed_rank(keyed, ["seed", "user_id"], "_key", ["item_id"], loads)

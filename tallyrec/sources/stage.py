@@ -30,6 +30,11 @@ def stage_root(spark: SparkSession) -> str:
     return _local_root()
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path under the stage root that no other run uses."""
+    return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a stage table and return a scan of it.
 
@@ -37,7 +42,7 @@ def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     on it then reads only the matching files.
     """
     spark = df.sparkSession
-    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
