@@ -6,6 +6,7 @@ import __spark_entry__ as driver
 from tests.check import canonical, connect, sql_rows
 
 SF = "/root/testdata/sf0.001"
+EMPTY = {"users_without_validation"}  # every user of the smallest tables has five items
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def test_same_rows(spark, con, name):
     assert sorted(df.columns) == sorted(names)
     got = canonical(df.columns, [tuple(r) for r in df.collect()])
     assert got == canonical(names, expected)
-    assert got
+    assert got or name in EMPTY
 
 
 def test_only_fitting_and_hashing_lack_sql():
