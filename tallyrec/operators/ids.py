@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyrec.functions.keys import canonical_key
 from tallyrec.operators.split import hashed_rank
 from tallyrec.schemas import unique_by
+from tallyrec.sources.stage import materialise
 
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:
@@ -80,14 +81,26 @@ def item_ids(tracks: DataFrame) -> DataFrame:
     )
 
 
-def encode(log: DataFrame, item_map: DataFrame, user_map: DataFrame) -> DataFrame:
+def checked_map(id_map: DataFrame, key: str, id_name: str) -> DataFrame:
+    """The map as a stage table; a key it lists twice fails the query."""
+    return materialise(unique_by(id_map, [key], [id_name], f"{key} map"), "id-map")
+
+
+def encode(
+    log: DataFrame, item_map: DataFrame, user_map: DataFrame, trusted: bool = False
+) -> DataFrame:
     """Replace the string keys of a log by (user_id, track_id), keeping every row.
 
-    Rows without a match keep a null id (see :func:`unmatched`). A key that a
-    map lists twice fails the query instead of multiplying rows.
+    Rows without a match keep a null id (see :func:`unmatched`). Maps must be
+    unique by key or rows would multiply, which is checked unless ``trusted``.
+    Both maps should be stored tables: a join of plain scans is one whose hot
+    keys adaptive execution can split over several tasks.
     """
-    items = unique_by(item_map, ["recording_msid"], ["track_id"], "item map")
-    users = unique_by(user_map, ["user_id"], ["u_id"], "user map")
+    items = item_map.select("recording_msid", "track_id")
+    users = user_map.select("user_id", "u_id")
+    if not trusted:
+        items = checked_map(items, "recording_msid", "track_id")
+        users = checked_map(users, "user_id", "u_id")
     return (
         log.join(items, "recording_msid", "left")
         .join(users, "user_id", "left")
@@ -105,7 +118,11 @@ def unmatched(encoded: DataFrame) -> DataFrame:
 
 
 def encoded_counts(
-    log: DataFrame, item_map: DataFrame, user_map: DataFrame, by: Sequence[str] = ()
+    log: DataFrame,
+    item_map: DataFrame,
+    user_map: DataFrame,
+    by: Sequence[str] = (),
+    trusted: bool = False,
 ) -> DataFrame:
     """(by.., user_id, item_id, n) of a log in surrogate ids.
 
@@ -115,7 +132,7 @@ def encoded_counts(
     """
     pairs = log.groupBy(*by, "user_id", "recording_msid").agg(F.count(F.lit(1)).alias("n"))
     return (
-        encode(pairs, item_map, user_map)
+        encode(pairs, item_map, user_map, trusted)
         .groupBy(*by, "user_id", F.col("track_id").alias("item_id"))
         .agg(F.sum("n").alias("n"))
     )

@@ -51,7 +51,10 @@ def evaluate(
     owner = [*shared, *(["user_id"] if per_user else [])]
     models = [model] if model else []
 
-    sizes = truth.groupBy(*groups, "user_id").agg(F.count("item_id").alias("_m"))
+    # rows without a user are nobody's ground truth; said once, so that every
+    # branch below reads the same shuffled data
+    truth = truth.where(" and ".join(f"{c} is not null" for c in ["user_id", *groups]))
+    sizes = truth.groupBy("user_id", *groups).agg(F.count("item_id").alias("_m"))
     listed = unique_by(
         lists.where(F.col("rank") <= list_size), [*models, *owner, "item_id"], ["rank"], "list item"
     )
@@ -63,8 +66,8 @@ def evaluate(
         listed = F.broadcast(listed)
     hits = truth.select(*groups, "user_id", "item_id").join(listed, [*owner, "item_id"])
 
-    scored = _user_sums(hits, [*groups, *models, "user_id"], ks).join(
-        sizes, [*groups, "user_id"]
+    scored = _user_sums(hits, ["user_id", *groups, *models], ks).join(
+        sizes, ["user_id", *groups]
     )
     names, metrics = _user_metrics(ks)
     sums = scored.groupBy(*groups, *models).agg(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyrec.operators.interactions import exact_percentile
 from tallyrec.operators.ranking import ground_truth, top_per_group
+from tallyrec.sources.stage import materialise
 
 
 def item_popularity(train: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -40,8 +41,13 @@ def active_items(train: DataFrame, fraction: float) -> DataFrame:
 
 
 def item_votes(train: DataFrame, item_percentile: float, list_size: int = 100) -> DataFrame:
-    """Points and voters per item: each user gives its r-th item list_size+1-r points."""
-    kept = train.join(active_items(train, item_percentile), "item_id", "left_semi")
+    """Points and voters per item: each user gives its r-th item list_size+1-r points.
+
+    The active items are staged, so that the join of a hot item's rows with them
+    can be split over several tasks.
+    """
+    active = materialise(active_items(train, item_percentile).select("item_id"), "active-items")
+    kept = train.join(active, "item_id", "left_semi")
     ballots = ground_truth(kept, list_size, groups=["user_id"])
     return ballots.groupBy("item_id").agg(
         F.sum(F.lit(list_size + 1) - F.col("rank")).alias("points"),

@@ -19,7 +19,7 @@ def top_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
 
 
 def ground_truth(
-    counts: DataFrame, k: int = 100, groups: Sequence[str] = ("split", "user_id")
+    counts: DataFrame, k: int = 100, groups: Sequence[str] = ("user_id", "split")
 ) -> DataFrame:
     """The ``k`` most frequent items of every user, in long form."""
     ranked = top_per_group(counts, groups, [F.desc("n"), F.asc("item_id")], k)

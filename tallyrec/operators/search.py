@@ -9,14 +9,14 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrec.config import SearchParams
+from tallyrec.functions import blocks
 from tallyrec.operators.ranking import top_per_group
 from tallyrec.schemas import require_columns
 from tallyrec.sources.stage import materialise
@@ -25,11 +25,11 @@ from tallyrec.sources.stage import materialise
 # dimensions. Each side is sent once per block of the other, and each query
 # returns k rows per item block, so larger blocks shuffle less.
 BLOCK_ROWS = 100_000
-_SLAB_CELLS = 8_000_000  # scores computed at a time inside a task
-# Products of 32-bit factors carry no information beyond this; rounding makes
-# equal vectors tie exactly, whatever order the sums are taken in.
-_SCORE_DIGITS = 12
-_SCORED = "query_id bigint, item_id bigint, score double"
+_TASKS_PER_CORE = 4
+_MIN_QUERIES = 250  # fewer queries per task than this are not worth a task
+
+# Executors get the block arithmetic with the task; they need no copy of the package.
+cloudpickle.register_pickle_by_value(blocks)
 
 
 def exact_topk(
@@ -41,8 +41,13 @@ def exact_topk(
     that :func:`lsh_topk` is judged against, not the way to search a large table.
     """
     _check(queries, items)
-    q_parts = max(1, math.ceil(queries.count() / block_rows))
-    i_parts = max(1, math.ceil(items.count() / block_rows))
+    n_queries, n_items = queries.count(), items.count()
+    i_parts = max(1, math.ceil(n_items / block_rows))
+    # small searches still use every core: cut the queries, the items stay whole
+    wanted = math.ceil(_TASKS_PER_CORE * _cores(queries) / i_parts)
+    q_parts = max(
+        1, math.ceil(n_queries / block_rows), min(wanted, math.ceil(n_queries / _MIN_QUERIES))
+    )
     q = queries.select(
         "query_id", "features", _part("query_id", F.lit(q_parts)).alias("_q"),
         _each(F.lit(i_parts)).alias("_i"),
@@ -51,7 +56,7 @@ def exact_topk(
         "item_id", "features", _part("item_id", F.lit(i_parts)).alias("_i"),
         _each(F.lit(q_parts)).alias("_q"),
     )
-    scored = _score_blocks(q, i, ["_q", "_i"], k)
+    scored = _score_blocks(q, i, ["_q", "_i"], k, q_parts * i_parts)
     return _best(scored, k)
 
 
@@ -86,7 +91,7 @@ def search_buckets(
         *bucket, "item_id", "features", _part("item_id", i_parts).alias("_i"),
         _each(q_parts).alias("_q"),
     )
-    scored = _score_blocks(q, i, [*bucket, "_q", "_i"], k)
+    scored = _score_blocks(q, i, [*bucket, "_q", "_i"], k, _TASKS_PER_CORE * _cores(q))
     # the same pair can meet in several tables
     return _best(scored.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k)
 
@@ -189,50 +194,21 @@ def _hot_buckets(q: DataFrame, i: DataFrame, block_rows: int) -> DataFrame:
     return large(q, "_q_parts").join(large(i, "_i_parts"), ["table", "bucket"], "full")
 
 
-def _score_blocks(q: DataFrame, i: DataFrame, cell: list[str], k: int) -> DataFrame:
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _top_products(left, right, k)
+def _cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
 
-    return q.groupBy(*cell).cogroup(i.groupBy(*cell)).applyInArrow(score, _SCORED)
+
+def _score_blocks(q: DataFrame, i: DataFrame, cell: list[str], k: int, cells: int) -> DataFrame:
+    """The best ``k`` items of every query within each cell.
+
+    The number of tasks is fixed because their work is in the products, not in
+    the bytes that adaptive execution would merge small partitions by.
+    """
+    tasks = min(cells, _TASKS_PER_CORE * _cores(q))
+    sides = [side.repartition(tasks, *cell).groupBy(*cell) for side in (q, i)]
+    return sides[0].cogroup(sides[1]).applyInArrow(blocks.scorer(k), blocks.SCORED)
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
     ranked = top_per_group(scored, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
     return ranked.select("query_id", "rank", "item_id", "score")
-
-
-def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
-    flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return flat.astype(np.float64).reshape(rows, -1)
-
-
-def _top_products(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    """The ``k`` best items of every query of one block pair; ties to the smaller id."""
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    if left.num_rows and right.num_rows:
-        query_ids = left["query_id"].to_numpy()
-        item_ids = right["item_id"].to_numpy()
-        items = _matrix(right["features"], right.num_rows).T
-        vectors = _matrix(left["features"], left.num_rows)
-        step = max(1, _SLAB_CELLS // right.num_rows)
-        for start in range(0, left.num_rows, step):
-            scores = np.round(vectors[start : start + step] @ items, _SCORE_DIGITS)
-            row, col = _row_tops(scores, item_ids, k)
-            found.append((query_ids[start + row], item_ids[col], scores[row, col]))
-    merged = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
-    types = {"query_id": pa.int64(), "item_id": pa.int64(), "score": pa.float64()}
-    return pa.table({n: pa.array(c, t) for (n, t), c in zip(types.items(), merged)})
-
-
-def _row_tops(scores: np.ndarray, item_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    width = scores.shape[1]
-    if width > k:
-        kth = np.partition(scores, width - k, axis=1)[:, width - k]
-        row, col = np.nonzero(scores >= kth[:, None])
-    else:
-        row, col = np.indices(scores.shape).reshape(2, -1)
-    order = np.lexsort((item_ids[col], -scores[row, col], row))
-    row, col = row[order], col[order]
-    first = np.searchsorted(row, np.arange(scores.shape[0]))
-    kept = np.arange(row.size) - first[row] < k
-    return row[kept], col[kept]

@@ -108,7 +108,8 @@ def assign_folds(
     require_columns(counts, [*by, "user_id", "item_id", "n"], "assign_folds")
     keyed = counts.withColumn("_key", hash_key(params.seed, "user_id", "item_id"))
     loads = activity.select(*by, "user_id", F.col("pairs").alias("load"))
-    ranked = hashed_rank(keyed, [*by, "user_id"], "_key", ["item_id"], loads, **skew)
+    # the most selective column first: sorting compares it before anything else
+    ranked = hashed_rank(keyed, ["user_id", *by], "_key", ["item_id"], loads, **skew)
     return ranked.withColumn("fold", ntile_of(F.col("pos"), F.col("size"), params.folds)).drop(
         "_key", "pos"
     )

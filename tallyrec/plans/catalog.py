@@ -321,68 +321,76 @@ def size_sweep_popularity(spark, sf_dir):
 # --- ids ------------------------------------------------------------------------
 
 
-def _id_sources(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Log, tagged users and tagged tracks of three overlapping splits."""
-    log = fixtures.orders_interactions(spark, sf_dir)
-    tracks = fixtures.tracks(spark, sf_dir)
+def _keyed_log(spark, sf_dir) -> DataFrame:
+    return fixtures.orders_interactions(spark, sf_dir).select(
+        "kind", "ts", "user_id",
+        F.concat(F.lit("m-"), F.col("item_id").cast("string")).alias("recording_msid"),
+    )
+
+
+def _id_sources(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Tagged users and tagged tracks of three overlapping splits."""
     small = F.col("ts") < F.lit(fixtures.ORDERS_SMALL_CUT).cast("timestamp_ntz")
+    keys = _keyed_log(spark, sf_dir).select(
+        "user_id", "recording_msid", "kind", small.alias("small")
+    )
+    seen = materialise(keys.distinct(), "seen")
+    tracks = fixtures.tracks(spark, sf_dir)
     parts = [
-        (log.where("kind = 'train'"), "train"),
-        (log.where(small), "train"),
-        (log.where("kind = 'test'"), "test"),
+        (seen.where("kind = 'train'"), "train"),
+        (seen.where("small"), "train"),
+        (seen.where("kind = 'test'"), "test"),
     ]
     users = [tag(p.select("user_id").distinct(), kind) for p, kind in parts]
-    seen = [
+    known = [
         tag(
-            tracks.join(p.select("item_id").distinct(), "item_id", "left_semi"),
+            tracks.join(p.select("recording_msid").distinct(), "recording_msid", "left_semi"),
             kind,
             ["recording_msid", "recording_mbid"],
         )
         for p, kind in parts
     ]
-    keyed = log.select(
-        "kind", "ts", "user_id",
-        F.concat(F.lit("m-"), F.col("item_id").cast("string")).alias("recording_msid"),
-    )
-    return keyed, ids.union_all(users), ids.union_all(seen)
+    return ids.union_all(users), ids.union_all(known)
 
 
 @_query
 def user_ids(spark, sf_dir):
-    return ids.user_ids(_id_sources(spark, sf_dir)[1])
+    return ids.user_ids(_id_sources(spark, sf_dir)[0])
 
 
 @_query
 def item_ids(spark, sf_dir):
-    return ids.item_ids(_id_sources(spark, sf_dir)[2])
+    return ids.item_ids(_id_sources(spark, sf_dir)[1])
 
 
-def _maps(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
-    log, users, tracks = _id_sources(spark, sf_dir)
-    return log, materialise(ids.item_ids(tracks), "items"), materialise(ids.user_ids(users), "users")
+def _maps(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    users, tracks = _id_sources(spark, sf_dir)
+    return materialise(ids.item_ids(tracks), "items"), materialise(ids.user_ids(users), "users")
 
 
 @_query
 def encoded_interactions(spark, sf_dir):
-    return ids.encode(*_maps(spark, sf_dir))
+    return ids.encode(_keyed_log(spark, sf_dir), *_maps(spark, sf_dir))
 
 
 @_query
 def encoded_interaction_counts(spark, sf_dir):
-    return ids.encoded_counts(*_maps(spark, sf_dir), by=["kind"])
+    items, users = _maps(spark, sf_dir)
+    return ids.encoded_counts(_keyed_log(spark, sf_dir), items, users, ["kind"], trusted=True)
 
 
 @_query
 def unmatched_interactions(spark, sf_dir):
     """Encoding against the maps of the test split alone leaves rows without an id."""
-    log, users, tracks = _id_sources(spark, sf_dir)
+    users, tracks = _id_sources(spark, sf_dir)
     items = ids.item_ids(tracks.where("type = 'test'"))
-    return ids.unmatched(ids.encode(log, items, ids.user_ids(users.where("type = 'test'"))))
+    known = ids.user_ids(users.where("type = 'test'"))
+    return ids.unmatched(ids.encode(_keyed_log(spark, sf_dir), items, known))
 
 
 @_query
 def id_source_shapes(spark, sf_dir):
-    _, users, tracks = _id_sources(spark, sf_dir)
+    users, tracks = _id_sources(spark, sf_dir)
     sizes = [
         table_shapes(t, ["type"]).withColumn("source", F.lit(name))
         for t, name in ((users, "users"), (tracks, "tracks"))
@@ -392,7 +400,7 @@ def id_source_shapes(spark, sf_dir):
 
 @_query
 def item_groups(spark, sf_dir):
-    groups = ids.item_groups(_id_sources(spark, sf_dir)[2])
+    groups = ids.item_groups(_id_sources(spark, sf_dir)[1])
     return groups.select(
         "long_id", "chunk",
         F.array_join("msids", ",").alias("msids"), F.array_join("types", ";").alias("types"),
@@ -401,7 +409,7 @@ def item_groups(spark, sf_dir):
 
 @_query
 def ungrouped_items(spark, sf_dir):
-    return ids.ungroup_items(ids.item_groups(_id_sources(spark, sf_dir)[2], chunk=2))
+    return ids.ungroup_items(ids.item_groups(_id_sources(spark, sf_dir)[1], chunk=2))
 
 
 @_query

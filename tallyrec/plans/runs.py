@@ -104,7 +104,7 @@ def ids_run(
     item_map = read_artifact(spark, out, "tracks_with_ids")
     missing = []
     for name, _ in splits:
-        encoded = ids.encode(inputs[name][0], item_map, user_map)
+        encoded = ids.encode(inputs[name][0], item_map, user_map, trusted=True)
         write_artifact(encoded, out, f"interactions_{name}_with_ids")
         stored = read_artifact(spark, out, f"interactions_{name}_with_ids")
         missing.append(ids.unmatched(stored).withColumn("split", F.lit(name)))

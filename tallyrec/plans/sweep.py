@@ -69,7 +69,7 @@ def seed_sweep(
         "_key", hash_key(None, "seed", "user_id", "item_id")
     )
     loads = activity.select(grid, "user_id", F.col("pairs").alias("load"))
-    ranked = hashed_rank(keyed, ["seed", "user_id"], "_key", ["item_id"], loads)
+    ranked = hashed_rank(keyed, ["user_id", "seed"], "_key", ["item_id"], loads)
     limit = activity_threshold(activity, params.percentile_cut).scalar()
     in_train = ntile_of(F.col("pos"), F.col("size"), params.folds) < params.folds
     folds = materialise(
@@ -80,7 +80,7 @@ def seed_sweep(
         partition_by="in_train",
     )
     lists = popularity_list(folds.where("in_train"), list_size, by=["seed"])
-    truth = ground_truth(folds.where("not in_train"), list_size, ["seed", "user_id"])
+    truth = ground_truth(folds.where("not in_train"), list_size, ["user_id", "seed"])
     return evaluate(truth, lists, ks=(), groups=["seed"], list_size=list_size).select(
         "seed", "users", "map"
     )

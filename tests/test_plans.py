@@ -87,3 +87,40 @@ def test_ids_gather_only_bucket_totals_in_one_place(spark):
     single = plan[plan.index("Exchange SinglePartition") :].splitlines()
     # directly below the only gathering exchange: the aggregate over 4096 buckets
     assert "HashAggregate(keys=[_bucket" in "\n".join(single[:4])
+
+
+def test_metrics_shuffle_the_ground_truth_once(spark, splits):
+    df = evaluate(ground_truth(splits), popularity_list(splits.where("split = 'train'")))
+    df.collect()
+    plan = plan_of(df).split("Initial Plan")[0]
+    assert plan.count("FileScan parquet") == 2  # ground truth, popularity
+    assert plan.count("ReusedExchange") >= 2
+
+
+def test_hot_key_of_an_encoding_join_is_split(spark, tmp_path):
+    """Half of the log has one key; adaptive execution spreads it over tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    hot = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id"))
+    log = spark.range(0, 40000, 1, 8).select(
+        (F.col("id") % 50).alias("user_id"), hot.cast("string").alias("recording_msid")
+    )
+    items = log.select("recording_msid").distinct().withColumn("track_id", F.xxhash64("recording_msid"))
+    users = log.select("user_id").distinct().withColumn("u_id", F.col("user_id"))
+    for name, df in (("log", log), ("items", items), ("users", users)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    log, items, users = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("log", "items", "users"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        encoded = ids.encode(log, items, users, trusted=True)
+        assert len(encoded.collect()) == 40000
+        assert "skew=true" in plan_of(encoded)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
