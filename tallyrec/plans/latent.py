@@ -23,21 +23,29 @@ from tallyrec.operators.ranking import ground_truth
 from tallyrec.operators.search import lsh_topk
 from tallyrec.plans.sweep import sample_pairs
 from tallyrec.sources.stage import materialise
+from tallyrec.sources.tables import write_artifact
 
 
 def label_of(params: AlsParams) -> str:
     return f"{params.rank}-{params.reg}-{params.alpha}"
 
 
-def fitted_lists(source: AlsInput, points: Sequence[AlsParams], k: int) -> DataFrame:
+def fitted_lists(
+    source: AlsInput, points: Sequence[AlsParams], k: int, export: str | None = None
+) -> DataFrame:
     """(model, rank_dim, reg, alpha, user_id, rank, item_id, score) of every grid point.
 
     Each fit is distributed; the loop only walks the grid. The lists of a point
     are staged before the next fit, so its factors need not stay in memory.
+    ``export`` names a folder to leave the factors of every point in, by model.
     """
     tables = []
     for p in points:
-        lists = recommend(fit_als(source, p), k).select(
+        fit = fit_als(source, p)
+        if export:
+            write_artifact(user_factors(fit), export, f"asl-matrix_u-{label_of(p)}")
+            write_artifact(item_factors(fit), export, f"asl-matrix_i-{label_of(p)}")
+        lists = recommend(fit, k).select(
             F.lit(label_of(p)).alias("model"),
             F.lit(p.rank).alias("rank_dim"),
             F.lit(float(p.reg)).alias("reg"),
@@ -109,31 +117,47 @@ def als_size_sweep(
     return reduce(DataFrame.unionByName, rows)
 
 
+def search_label(search: SearchParams) -> str:
+    return f"{search.tables}x{search.hashes}@{search.width}"
+
+
+def searched_lists(
+    users: DataFrame, items: DataFrame, searches: Sequence[SearchParams], k: int
+) -> DataFrame:
+    """(search, user_id, rank, item_id, score) of hashed search over stored factors."""
+    found = [
+        lsh_topk(users.withColumnRenamed("user_id", "query_id"), items, k, s).select(
+            F.lit(search_label(s)).alias("search"),
+            F.col("query_id").alias("user_id"),
+            "rank", "item_id", "score",
+        )
+        for s in searches
+    ]
+    return materialise(reduce(DataFrame.unionByName, found), "lsh-lists")
+
+
+def search_scores(
+    truth: DataFrame, lists: DataFrame, searches: Sequence[SearchParams], list_size: int = 100
+) -> DataFrame:
+    """(split, search, users, map, map_hit_norm) of every search setting."""
+    return evaluate(
+        truth, lists, ks=(), model="search", values=[search_label(s) for s in searches],
+        population="both", list_size=list_size,
+    )
+
+
 def lsh_map(
     splits: DataFrame,
     params: AlsParams,
     searches: Sequence[SearchParams],
     list_size: int = 100,
 ) -> DataFrame:
-    """Hit-normalised MAP of lists found by hashed search over the fitted factors.
-
-    One fit, its factors staged once, and one list table per search setting.
-    """
+    """Accuracy of lists found by hashed search over the factors of one fit."""
     fit = fit_als(als_input(_train(splits)), params)
-    users = materialise(user_factors(fit).withColumnRenamed("user_id", "query_id"), "user-factors")
+    users = materialise(user_factors(fit), "user-factors")
     items = materialise(item_factors(fit), "item-factors")
-    labels = [f"{s.tables}x{s.hashes}@{s.width}" for s in searches]
-    found = [
-        lsh_topk(users, items, list_size, s).select(
-            F.lit(label).alias("search"), F.col("query_id").alias("user_id"), "rank", "item_id"
-        )
-        for s, label in zip(searches, labels)
-    ]
-    lists = materialise(reduce(DataFrame.unionByName, found), "lsh-lists")
-    return evaluate(
-        ground_truth(splits, list_size), lists, ks=(), model="search", values=labels,
-        population="both", list_size=list_size,
-    )
+    lists = searched_lists(users, items, searches, list_size)
+    return search_scores(ground_truth(splits, list_size), lists, searches, list_size)
 
 
 def _train(splits: DataFrame) -> DataFrame:

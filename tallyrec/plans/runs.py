@@ -1,28 +1,47 @@
-"""The three batch runs from split files to scored models.
+"""The batch runs from split files to scored models.
 
     spark-submit -m tallyrec.plans.runs popularity --data DIR --out DIR
     spark-submit -m tallyrec.plans.runs ids        --data DIR --out DIR
     spark-submit -m tallyrec.plans.runs latent     --data DIR --out DIR --ranks 1 4
+    spark-submit -m tallyrec.plans.runs search     --data DIR --out DIR --model 4-2.0-5.0
+    spark-submit -m tallyrec.plans.runs sizes      --data DIR --out DIR
 
-``--data`` holds ``interactions_<split>.parquet``, ``tracks_<split>.parquet`` and
-``users_<split>.parquet``. Every run leaves its artifacts in ``--out``.
+``--data`` of popularity and ids holds ``interactions_<split>.parquet``,
+``tracks_<split>.parquet`` and ``users_<split>.parquet``; latent reads what ids
+left, search and sizes read what latent left. Artifacts go to ``--out``.
 """
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrec.config import LATENT_SPLIT, AlsGrid, SplitParams, VoteParams
+from tallyrec.config import (
+    LATENT_SPLIT,
+    AlsGrid,
+    AlsParams,
+    SearchParams,
+    SplitParams,
+    VoteParams,
+)
 from tallyrec.operators import ids
 from tallyrec.operators.factors import als_input
 from tallyrec.operators.metrics import evaluate
 from tallyrec.operators.popularity import damped_vote_lists, name_items, popularity_list
 from tallyrec.operators.ranking import ground_truth
-from tallyrec.plans.latent import fitted_lists, label_of
+from tallyrec.operators.search import recall_of
+from tallyrec.plans.latent import (
+    als_size_sweep,
+    fitted_lists,
+    label_of,
+    search_label,
+    search_scores,
+    searched_lists,
+)
 from tallyrec.plans.prepare import prepare_splits
 from tallyrec.plans.sweep import best_of
 from tallyrec.session import build_session
@@ -121,7 +140,8 @@ def latent_run(
 ) -> DataFrame:
     """Fit every grid point on the encoded splits in ``data`` and score its lists.
 
-    Leaves asl-splits, asl-gt, asl-pred (by model) and asl-metrics.
+    Leaves asl-splits, asl-gt, asl-pred (by model), asl-matrix_u and asl-matrix_i
+    (one per model) and asl-metrics.
     """
     train_log, test_log = (
         read_artifact(spark, data, f"interactions_{n}_with_ids") for n in (train_name, "test")
@@ -135,7 +155,7 @@ def latent_run(
 
     source = als_input(splits.where("split = 'train'").drop("split"))
     points = grid.points()
-    write_artifact(fitted_lists(source, points, k), out, "asl-pred", ["model"])
+    write_artifact(fitted_lists(source, points, k, export=out), out, "asl-pred", ["model"])
     lists = read_artifact(spark, out, "asl-pred")
     scores = evaluate(
         read_artifact(spark, out, "asl-gt"), lists, ks=(k,), model="model",
@@ -145,9 +165,58 @@ def latent_run(
     return read_artifact(spark, out, "asl-metrics")
 
 
+def search_run(
+    spark: SparkSession,
+    data: str,
+    out: str,
+    model: str,
+    searches: Sequence[SearchParams],
+    list_size: int = 100,
+) -> DataFrame:
+    """Hashed search over one model's exported factors, against exact search.
+
+    Leaves lsh-pred (by search), lsh-metrics and lsh-recall; returns
+    (search, recall) joined to the metrics of every split.
+    """
+    users = read_artifact(spark, data, f"asl-matrix_u-{model}")
+    items = read_artifact(spark, data, f"asl-matrix_i-{model}")
+    truth = read_artifact(spark, data, "asl-gt")
+    exact = read_artifact(spark, data, "asl-pred").where(F.col("model") == model)
+    exact = exact.where(F.col("rank") <= list_size).withColumnRenamed("user_id", "query_id")
+
+    write_artifact(searched_lists(users, items, searches, list_size), out, "lsh-pred", ["search"])
+    found = read_artifact(spark, out, "lsh-pred")
+    write_artifact(search_scores(truth, found, searches, list_size), out, "lsh-metrics")
+    recalls = [
+        recall_of(
+            exact,
+            found.where(F.col("search") == search_label(s)).withColumnRenamed("user_id", "query_id"),
+        ).withColumn("search", F.lit(search_label(s)))
+        for s in searches
+    ]
+    write_artifact(ids.union_all(recalls), out, "lsh-recall")
+    # one row per search setting
+    recall = F.broadcast(read_artifact(spark, out, "lsh-recall"))
+    return read_artifact(spark, out, "lsh-metrics").join(recall, "search")
+
+
+def sizes_run(
+    spark: SparkSession,
+    data: str,
+    out: str,
+    fractions: Sequence[float] = (0.1, 0.25, 0.5, 1.0),
+    params: AlsParams = AlsParams(),
+    list_size: int = 100,
+) -> DataFrame:
+    """Accuracy and fit time of ALS against the share of the training pairs."""
+    splits = read_artifact(spark, data, "asl-splits")
+    write_artifact(als_size_sweep(splits, fractions, params, list_size), out, "asl-sizes")
+    return read_artifact(spark, out, "asl-sizes")
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallyrec")
-    parser.add_argument("run", choices=["popularity", "ids", "latent"])
+    parser.add_argument("run", choices=["popularity", "ids", "latent", "search", "sizes"])
     parser.add_argument("--data", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--train", help="name of the training split")
@@ -155,6 +224,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--ranks", type=int, nargs="+", default=list(AlsGrid().ranks))
     parser.add_argument("--regs", type=float, nargs="+", default=list(AlsGrid().regs))
     parser.add_argument("--alphas", type=float, nargs="+", default=list(AlsGrid().alphas))
+    parser.add_argument("--model", help="label rank-reg-alpha of the fit to search")
+    parser.add_argument("--tables", type=int, nargs="+", default=[10, 20])
+    parser.add_argument("--hashes", type=int, nargs="+", default=[2])
+    parser.add_argument("--widths", type=float, nargs="+", default=[0.25, 0.5])
+    parser.add_argument("--fractions", type=float, nargs="+", default=[0.1, 0.25, 0.5, 1.0])
     args = parser.parse_args(argv)
     spark = build_session(f"tallyrec-{args.run}")
     named = {"train_name": args.train} if args.train else {}
@@ -163,6 +237,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         result = popularity_run(spark, args.data, args.out, vote=vote, **named)
     elif args.run == "ids":
         result = ids_run(spark, args.data, args.out)
+    elif args.run == "search":
+        settings = product(args.tables, args.hashes, args.widths)
+        searches = [SearchParams(*s) for s in settings]
+        model = args.model or label_of(AlsParams())
+        result = search_run(spark, args.data, args.out, model, searches)
+    elif args.run == "sizes":
+        result = sizes_run(spark, args.data, args.out, args.fractions)
     else:
         grid = AlsGrid(tuple(args.ranks), tuple(args.regs), tuple(args.alphas))
         result = latent_run(spark, args.data, args.out, grid=grid, **named)

@@ -12,8 +12,8 @@ from tallyrec.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tallyrec-tests",
-        "local[8]",
-        spark__sql__shuffle__partitions="8",
+        "local[4]",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

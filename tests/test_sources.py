@@ -3,8 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallyrec.config import AlsGrid, SplitParams
-from tallyrec.plans.runs import ids_run, latent_run, popularity_run
+from tallyrec.config import AlsGrid, SearchParams, SplitParams
+from tallyrec.plans.runs import ids_run, latent_run, popularity_run, search_run, sizes_run
 from tallyrec.schemas import LISTS, TRACKS
 from tallyrec.sources.stage import materialise
 from tallyrec.sources.tables import (
@@ -92,3 +92,13 @@ def test_ids_then_latent_run(spark, data, tmp_path):
     ).collect()
     assert {r.model for r in scores} == {"1-2.0-5.0", "3-2.0-5.0"}
     assert {r["split"] for r in scores} == {"train", "val", "test"}
+
+    searches = [SearchParams(tables=4, hashes=1, width=0.5), SearchParams(tables=8, hashes=1, width=2.0)]
+    found = search_run(spark, out, out, "3-2.0-5.0", searches, list_size=10).collect()
+    assert len(found) == 2 * 3
+    recall = {r.search: r.recall for r in found}
+    assert 0 < recall["4x1@0.5"] <= recall["8x1@2.0"] <= 1
+
+    sizes = {r.fraction: r for r in sizes_run(spark, out, out, (0.5, 1.0), list_size=10).collect()}
+    assert 0 < sizes[0.5].train_rows < sizes[1.0].train_rows
+    assert sizes[1.0].fit_seconds > 0
