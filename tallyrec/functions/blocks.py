@@ -9,9 +9,10 @@ import pyarrow as pa
 
 SCORED = "query_id bigint, item_id bigint, score double"
 SLAB_CELLS = 8_000_000  # scores computed at a time
-# Products of 32-bit factors carry no information beyond this; rounding makes
-# equal vectors tie exactly, whatever order the sums are taken in.
-SCORE_DIGITS = 12
+# Significant bits of a score. Products of 32-bit factors carry no information
+# beyond this; rounding makes equal vectors tie exactly, whatever order the sums
+# are taken in, and being relative it works for scores of any size.
+SCORE_BITS = 40
 
 
 def scorer(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -49,11 +50,12 @@ def _row_tops(
     width = scores.shape[1]
     if width > k:
         kth = np.partition(scores, width - k, axis=1)[:, width - k]
-        # one rounding step lower, to keep what may tie with the k-th once rounded
-        row, col = np.nonzero(scores >= kth[:, None] - 10.0**-SCORE_DIGITS)
+        # a little lower, to keep what may tie with the k-th once rounded
+        row, col = np.nonzero(scores >= (kth - np.abs(kth) * 2.0 ** (2 - SCORE_BITS))[:, None])
     else:
         row, col = np.indices(scores.shape).reshape(2, -1)
-    score = np.round(scores[row, col], SCORE_DIGITS)
+    fraction, exponent = np.frexp(scores[row, col])
+    score = np.ldexp(np.rint(np.ldexp(fraction, SCORE_BITS)), exponent - SCORE_BITS)
     order = np.lexsort((item_ids[col], -score, row))
     row, col, score = row[order], col[order], score[order]
     first = np.searchsorted(row, np.arange(scores.shape[0]))

@@ -25,6 +25,7 @@ from tallyrec.operators.interactions import (
     activity_threshold,
     count_interactions,
     table_shapes,
+    user_activity,
 )
 from tallyrec.operators.metrics import evaluate
 from tallyrec.operators.popularity import (
@@ -115,24 +116,28 @@ def interaction_counts_orders(spark, sf_dir):
     return count_interactions(fixtures.orders_interactions(spark, sf_dir), ["kind"])
 
 
+def _activity(log: DataFrame) -> DataFrame:
+    return user_activity(count_interactions(log, ["kind"]), ["kind"])
+
+
 @_query
 def activity_profile_events(spark, sf_dir):
-    counted = count_log(fixtures.events_interactions(spark, sf_dir))
-    return _out(activity_profile(counted.activity, ["kind"]))
+    activity = _activity(fixtures.events_interactions(spark, sf_dir))
+    return _out(activity_profile(activity, ["kind"]))
 
 
 @_query
 def activity_profile_orders(spark, sf_dir):
-    counted = count_log(fixtures.orders_interactions(spark, sf_dir))
-    return _out(activity_profile(counted.activity, ["kind"]))
+    activity = _activity(fixtures.orders_interactions(spark, sf_dir))
+    return _out(activity_profile(activity, ["kind"]))
 
 
 @_query
 def activity_thresholds(spark, sf_dir):
     """The cuts of the popularity run (0.05) and of the latent-factor run (0.2)."""
-    counted = count_log(fixtures.orders_interactions(spark, sf_dir))
+    activity = _activity(fixtures.orders_interactions(spark, sf_dir))
     cuts = [
-        activity_threshold(counted.activity, p, ["kind"]).withColumn("fraction", F.lit(p))
+        activity_threshold(activity, p, ["kind"]).withColumn("fraction", F.lit(p))
         for p in (0.05, 0.2)
     ]
     return _out(ids.union_all(cuts))
@@ -140,8 +145,8 @@ def activity_thresholds(spark, sf_dir):
 
 @_query
 def active_user_pairs(spark, sf_dir):
-    counted = count_log(fixtures.orders_interactions(spark, sf_dir))
-    return active_users(counted.activity, 0.2, ["kind"])
+    activity = materialise(_activity(fixtures.orders_interactions(spark, sf_dir)), "activity")
+    return active_users(activity, 0.2, ["kind"])
 
 
 @_query

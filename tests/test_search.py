@@ -42,6 +42,12 @@ def test_exact_search_equals_brute_force(spark, vectors, block):
     assert sorted((r.query_id, r.rank, r.item_id) for r in got) == brute_force(*vectors, 12)
 
 
+def test_tiny_scores_keep_their_order(spark):
+    q = frame(spark, "query_id", [[1e-9, 1e-9]])
+    i = frame(spark, "item_id", [[1e-9, 1e-9], [1e-9, 1.001e-9], [2e-9, 0], [1e-9, 1.001e-9]])
+    assert [r.item_id for r in exact_topk(q, i, 3).orderBy("rank").collect()] == [1, 3, 0]
+
+
 def test_fewer_items_than_k(spark):
     q, i = frame(spark, "query_id", [[1, 0]]), frame(spark, "item_id", [[1, 0], [2, 0]])
     assert [r.item_id for r in exact_topk(q, i, 5).orderBy("rank").collect()] == [1, 0]
