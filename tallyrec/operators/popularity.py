@@ -80,6 +80,12 @@ def name_items(lists: DataFrame, tracks: DataFrame) -> DataFrame:
     )
 
 
+def personal_lists(best: DataFrame, users: DataFrame) -> DataFrame:
+    """A global list given to every user: the ``k`` rows travel as one array."""
+    entries = F.array_sort(F.collect_list(F.struct("rank", "item_id", "score")))
+    return users.select("user_id", F.inline(best.agg(entries.alias("e")).scalar()))
+
+
 def without_seen(lists: DataFrame, train: DataFrame) -> DataFrame:
     """Per-user lists without the items the user already has, ranks closed up."""
     unseen = lists.join(train, ["user_id", "item_id"], "left_anti")

@@ -32,6 +32,7 @@ from tallyrec.operators.popularity import (
     active_items,
     damped_vote_lists,
     name_items,
+    personal_lists,
     popularity_list,
     without_seen,
 )
@@ -272,6 +273,16 @@ def map_hit_norm(spark, sf_dir):
     return _out(metrics.select("split", "users", "map", "map_hit_norm"))
 
 
+@_query
+def map_popularity_unseen(spark, sf_dir):
+    """Popularity without the items a user already has in training."""
+    splits = prepare_splits(fixtures.events_interactions(spark, sf_dir))
+    train = _train(splits)
+    lists = personal_lists(popularity_list(train), train.select("user_id").distinct())
+    metrics = evaluate(ground_truth(splits), without_seen(lists, train), ks=(10,))
+    return _out(metrics)
+
+
 @_query
 def ranking_metrics_at_k(spark, sf_dir):
     log = fixtures.orders_interactions(spark, sf_dir)
@@ -530,7 +541,9 @@ def _vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @_query
 def exact_topk_search(spark, sf_dir):
-    return _out(exact_topk(*_vectors(spark, sf_dir), 10))
+    # scores carry forty bits, so fewer digits than elsewhere are beyond doubt
+    found = exact_topk(*_vectors(spark, sf_dir), 10)
+    return _longs(found.withColumn("score", F.round("score", 6)))
 
 
 @_query

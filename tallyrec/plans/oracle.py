@@ -91,9 +91,11 @@ voted AS (
 def _metrics(lists: str, models: str, group: str, ks: Sequence[int]) -> str:
     """CTE ``metrics``: one row per group and model, every metric unrounded.
 
-    ``lists`` is a relation (model, rank, item_id[, group]); ``models`` one of (model).
+    ``lists`` is a relation (model, rank, item_id[, group][, user_id]); ``models`` one of (model).
     """
     on_group = f"AND l.{group} = g.{group}" if group == "seed" else ""
+    if "user_id" in lists:
+        on_group += " AND l.user_id = g.user_id"
     sums = "".join(
         f""",
          count(*) FILTER (WHERE rank <= {k}) AS hits_{k},
@@ -287,6 +289,16 @@ SELECT beta, rank, item_id, round(score, 9) AS score FROM voted""",
 SELECT beta, rank, item_id, round(score, 9) AS score FROM voted""",
         "map_popularity": _popularity_metrics(ORDERS, (), 100, ["map"]),
         "map_hit_norm": _popularity_metrics(EVENTS, (), EVENTS_LIST, ["map", "map_hit_norm"]),
+        "map_popularity_unseen": f"""WITH {_splits(EVENTS)},
+{_truth()},
+{_popular(100)},
+train AS (SELECT user_id, item_id FROM splits WHERE split = 'train'),
+personal AS (
+  SELECT u.user_id, item_id, row_number() OVER (PARTITION BY u.user_id ORDER BY best.rank) AS rank
+  FROM (SELECT DISTINCT user_id FROM train) u CROSS JOIN best ANTI JOIN train
+    ON train.user_id = u.user_id AND train.item_id = best.item_id),
+{_metrics("SELECT 0 AS model, user_id, rank, item_id FROM personal", _ONE, "split", (10,))}
+SELECT split, users, {_rounded(["map", "map_hit_norm", *_at((10,))])} FROM metrics""",
         "ranking_metrics_at_k": _popularity_metrics(
             ORDERS, at_orders, 100, ["map", "map_hit_norm", *_at(at_orders)]
         ),
@@ -350,9 +362,9 @@ SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, item_id
 FROM counts QUALIFY rank <= 100""",
         "exact_topk_search": """WITH pairs AS (
   SELECT a.vec_id AS query_id, b.vec_id AS item_id,
-         round(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 12) AS s
+         list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
   FROM embeddings a CROSS JOIN embeddings b)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, item_id) AS rank, item_id,
-       round(s, 9) AS score
+       round(s, 6) AS score
 FROM pairs QUALIFY rank <= 10""",
     }

@@ -100,9 +100,10 @@ def test_metrics_shuffle_the_ground_truth_once(spark, splits):
 def test_hot_key_of_an_encoding_join_is_split(spark, tmp_path):
     """Half of the log has one key; adaptive execution spreads it over tasks."""
     settings = {
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
     }
@@ -124,3 +125,4 @@ def test_hot_key_of_an_encoding_join_is_split(spark, tmp_path):
     finally:
         for key in settings:
             spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
