@@ -19,8 +19,8 @@ def union_all(tables: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
-def dense_ids(keys: DataFrame, key: str, id_name: str, digits: int = 3) -> DataFrame:
-    """(key, id): ids 1..N over the distinct keys, in md5 order of the key.
+def number_rows(df: DataFrame, key: str, id_name: str, digits: int = 3) -> DataFrame:
+    """Add ids 1..N to a table with one row per (non-null) key, in md5 order of the key.
 
     The keys are ranked apart in 16^digits buckets of md5 prefixes, then shifted
     by the rows in lower buckets. md5 fills the buckets evenly whatever the keys
@@ -29,11 +29,8 @@ def dense_ids(keys: DataFrame, key: str, id_name: str, digits: int = 3) -> DataF
     ever in one place.
     """
     md5 = F.md5(F.col(key).cast("string"))
-    bucketed = (
-        keys.select(key)
-        .where(F.col(key).isNotNull())
-        .distinct()
-        .select(key, F.substring(md5, 1, digits).alias("_bucket"), F.unhex(md5).alias("_md5"))
+    bucketed = df.select(
+        "*", F.substring(md5, 1, digits).alias("_bucket"), F.unhex(md5).alias("_md5")
     )
     totals = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -44,18 +41,24 @@ def dense_ids(keys: DataFrame, key: str, id_name: str, digits: int = 3) -> DataF
     return (
         bucketed.withColumn("_pos", local)
         .join(F.broadcast(shifts), F.col("_bucket") == F.col("_of"))
-        .select(key, (F.col("_pos") + F.col("_shift")).alias(id_name))
+        .select(*df.columns, (F.col("_pos") + F.col("_shift")).alias(id_name))
     )
 
 
+def dense_ids(keys: DataFrame, key: str, id_name: str, digits: int = 3) -> DataFrame:
+    """(key, id): ids 1..N over the distinct non-null keys of a table."""
+    distinct = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    return number_rows(distinct, key, id_name, digits)
+
+
 def user_ids(users: DataFrame) -> DataFrame:
     """(user_id, u_id, types) from tagged users of all splits: one row per user."""
-    tagged = users.groupBy("user_id").agg(
+    tagged = users.where("user_id is not null").groupBy("user_id").agg(
         F.array_join(F.array_sort(F.collect_set("type")), ",").alias("types")
     )
-    return tagged.join(dense_ids(users, "user_id", "u_id"), "user_id").select(
-        "user_id", "u_id", "types"
-    )
+    # staged because both the buckets and their totals read it
+    numbered = number_rows(materialise(tagged, "tagged-users"), "user_id", "u_id")
+    return numbered.select("user_id", "u_id", "types")
 
 
 def canonical_items(tracks: DataFrame) -> DataFrame:
@@ -75,7 +78,7 @@ def canonical_items(tracks: DataFrame) -> DataFrame:
 
 def item_ids(tracks: DataFrame) -> DataFrame:
     """(track_id, recording_msid, types): submissions of one recording share the id."""
-    items = canonical_items(tracks)
+    items = materialise(canonical_items(tracks), "canonical-items")
     return items.join(dense_ids(items, "long_id", "track_id"), "long_id").select(
         "track_id", "recording_msid", "types"
     )
@@ -144,7 +147,9 @@ def item_groups(tracks: DataFrame, chunk: int = 1000) -> DataFrame:
     The members of a recording are numbered by hash and packed into arrays of at
     most ``chunk``, so the group of a hot key is many rows, never one.
     """
-    items = canonical_items(tracks).withColumn("_key", F.unhex(F.md5("recording_msid")))
+    items = materialise(canonical_items(tracks), "canonical-items").withColumn(
+        "_key", F.unhex(F.md5("recording_msid"))
+    )
     loads = items.groupBy("long_id").agg(F.count(F.lit(1)).alias("load"))
     ranked = hashed_rank(items, ["long_id"], "_key", ["recording_msid"], loads)
     numbered = ranked.withColumn("chunk", F.floor((F.col("pos") - 1) / F.lit(chunk)))

@@ -79,10 +79,9 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+def _rounded(df: DataFrame) -> DataFrame:
     """Doubles at nine digits, so that another engine's summation order cannot show."""
-    doubles = columns or [c for c, t in df.dtypes if t == "double"]
-    return df.withColumns({c: F.round(c, 9) for c in doubles})
+    return df.withColumns({c: F.round(c, 9) for c, t in df.dtypes if t == "double"})
 
 
 def _longs(df: DataFrame) -> DataFrame:
@@ -453,8 +452,8 @@ def partitioned_truth(spark, sf_dir):
     """Ground truth stored by split, read back for validation users only."""
     base = fresh_path(spark, "artifacts")
     truth = ground_truth(prepare_splits(fixtures.events_interactions(spark, sf_dir)))
-    write_artifact(truth, base, "base-gt", ["split"])
-    return _longs(read_artifact(spark, base, "base-gt").where("split = 'val'"))
+    write_artifact(truth, base, "base-truth", ["split"])
+    return _longs(read_artifact(spark, base, "base-truth").where("split = 'val'"))
 
 
 @_query

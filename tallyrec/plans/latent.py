@@ -43,8 +43,8 @@ def fitted_lists(
     for p in points:
         fit = fit_als(source, p)
         if export:
-            write_artifact(user_factors(fit), export, f"asl-matrix_u-{label_of(p)}")
-            write_artifact(item_factors(fit), export, f"asl-matrix_i-{label_of(p)}")
+            write_artifact(user_factors(fit), export, f"als-user-factors-{label_of(p)}")
+            write_artifact(item_factors(fit), export, f"als-item-factors-{label_of(p)}")
         lists = recommend(fit, k).select(
             F.lit(label_of(p)).alias("model"),
             F.lit(p.rank).alias("rank_dim"),

@@ -69,7 +69,7 @@ def popularity_run(
 ) -> DataFrame:
     """Split, fit both popularity models, score them; returns the best beta's row.
 
-    Leaves base-splits, base-gt, pred-baseline, pred-named, pred-vote,
+    Leaves base-splits, base-truth, pred-baseline, pred-named, pred-vote,
     base-metrics and vote-metrics.
     """
     train_log, train_tracks, _ = read_split(spark, data, train_name)
@@ -79,8 +79,8 @@ def popularity_run(
     write_artifact(prepare_splits(_log(train_log, test_log, item), split), out, "base-splits", ["split"])
     splits = read_artifact(spark, out, "base-splits")
     train = splits.where("split = 'train'").drop("split")
-    write_artifact(ground_truth(splits, k), out, "base-gt", ["split"])
-    truth = read_artifact(spark, out, "base-gt")
+    write_artifact(ground_truth(splits, k), out, "base-truth", ["split"])
+    truth = read_artifact(spark, out, "base-truth")
 
     write_artifact(popularity_list(train, k), out, "pred-baseline")
     popular = read_artifact(spark, out, "pred-baseline")
@@ -140,8 +140,8 @@ def latent_run(
 ) -> DataFrame:
     """Fit every grid point on the encoded splits in ``data`` and score its lists.
 
-    Leaves asl-splits, asl-gt, asl-pred (by model), asl-matrix_u and asl-matrix_i
-    (one per model) and asl-metrics.
+    Leaves als-splits, als-truth, als-lists (by model), als-user-factors and als-item-factors
+    (one per model) and als-metrics.
     """
     train_log, test_log = (
         read_artifact(spark, data, f"interactions_{n}_with_ids") for n in (train_name, "test")
@@ -149,20 +149,20 @@ def latent_run(
     # events without an id cannot be recommended or learned from
     log = _log(train_log, test_log, "track_id").where("item_id is not null and user_id is not null")
     k = split.list_size
-    write_artifact(prepare_splits(log, split), out, "asl-splits", ["split"])
-    splits = read_artifact(spark, out, "asl-splits")
-    write_artifact(ground_truth(splits, k), out, "asl-gt", ["split"])
+    write_artifact(prepare_splits(log, split), out, "als-splits", ["split"])
+    splits = read_artifact(spark, out, "als-splits")
+    write_artifact(ground_truth(splits, k), out, "als-truth", ["split"])
 
     source = als_input(splits.where("split = 'train'").drop("split"))
     points = grid.points()
-    write_artifact(fitted_lists(source, points, k, export=out), out, "asl-pred", ["model"])
-    lists = read_artifact(spark, out, "asl-pred")
+    write_artifact(fitted_lists(source, points, k, export=out), out, "als-lists", ["model"])
+    lists = read_artifact(spark, out, "als-lists")
     scores = evaluate(
-        read_artifact(spark, out, "asl-gt"), lists, ks=(k,), model="model",
+        read_artifact(spark, out, "als-truth"), lists, ks=(k,), model="model",
         values=[label_of(p) for p in points], population="both", list_size=k,
     )
-    write_artifact(scores, out, "asl-metrics")
-    return read_artifact(spark, out, "asl-metrics")
+    write_artifact(scores, out, "als-metrics")
+    return read_artifact(spark, out, "als-metrics")
 
 
 def search_run(
@@ -178,10 +178,10 @@ def search_run(
     Leaves lsh-pred (by search), lsh-metrics and lsh-recall; returns
     (search, recall) joined to the metrics of every split.
     """
-    users = read_artifact(spark, data, f"asl-matrix_u-{model}")
-    items = read_artifact(spark, data, f"asl-matrix_i-{model}")
-    truth = read_artifact(spark, data, "asl-gt")
-    exact = read_artifact(spark, data, "asl-pred").where(F.col("model") == model)
+    users = read_artifact(spark, data, f"als-user-factors-{model}")
+    items = read_artifact(spark, data, f"als-item-factors-{model}")
+    truth = read_artifact(spark, data, "als-truth")
+    exact = read_artifact(spark, data, "als-lists").where(F.col("model") == model)
     exact = exact.where(F.col("rank") <= list_size).withColumnRenamed("user_id", "query_id")
 
     write_artifact(searched_lists(users, items, searches, list_size), out, "lsh-pred", ["search"])
@@ -209,9 +209,9 @@ def sizes_run(
     list_size: int = 100,
 ) -> DataFrame:
     """Accuracy and fit time of ALS against the share of the training pairs."""
-    splits = read_artifact(spark, data, "asl-splits")
-    write_artifact(als_size_sweep(splits, fractions, params, list_size), out, "asl-sizes")
-    return read_artifact(spark, out, "asl-sizes")
+    splits = read_artifact(spark, data, "als-splits")
+    write_artifact(als_size_sweep(splits, fractions, params, list_size), out, "als-sizes")
+    return read_artifact(spark, out, "als-sizes")
 
 
 def main(argv: Sequence[str] | None = None) -> None:
