@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import pieces
+from tallyrec.llm import packing, pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
+#: End id of a packed document, and the length of a sequence.
+END_ID = 2
+SEQUENCE = 4096
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -23,9 +27,16 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(_table(spark, sf_dir, "documents"), "doc_id", "text", PIECE_MODEL)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs all documents along a space-filling curve."""
+    documents = _table(spark, sf_dir, "documents")
+    return packing.pack(documents, "doc_id", "text", WORD_MODEL, END_ID, SEQUENCE).drop("ids")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op4_packing": op4_packing,
     }
 
 
