@@ -48,7 +48,7 @@ def components(edges: DataFrame) -> DataFrame:
         if first:
             found, first = roots, False
         else:
-            step = roots.withColumnsRenamed({"v": "root", "root": "next"})
+            step = roots.select(F.col("v").alias("root"), F.col("root").alias("next"))
             found = materialise(
                 found.join(step, "root", "left").select("v", F.coalesce("next", "root").alias("root")),
                 "graph-roots",

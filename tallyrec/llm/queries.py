@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import packing, pieces
+from tallyrec.llm import jaccard, packing, pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,7 +19,12 @@ SEQUENCE = 4096
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers on this machine find the package wherever the driver was started
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +33,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.piece_digest(_table(spark, sf_dir, "documents"), "doc_id", "text", PIECE_MODEL)
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of five-word shingles link at 0.8."""
+    return jaccard.jaccard_join(_table(spark, sf_dir, "documents"), "doc_id", "text").documents()
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs all documents along a space-filling curve."""
     documents = _table(spark, sf_dir, "documents")
@@ -36,6 +47,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
+        "op2_jaccard": op2_jaccard,
         "op4_packing": op4_packing,
     }
 
