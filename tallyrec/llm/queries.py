@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import jaccard, packing, pieces
+from tallyrec.llm import jaccard, language, packing, pieces, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,17 +38,36 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(_table(spark, sf_dir, "documents"), "doc_id", "text").documents()
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from a model of weak labels."""
+    documents = _table(spark, sf_dir, "documents")
+    model = quality.fit_quality(documents, "doc_id", "text")
+    return quality.score_quality(documents, "doc_id", "text", model)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packs all documents along a space-filling curve."""
     documents = _table(spark, sf_dir, "documents")
     return packing.pack(documents, "doc_id", "text", WORD_MODEL, END_ID, SEQUENCE).drop("ids")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    documents = _table(spark, sf_dir, "documents")
+    model = language.fit_languages(documents, "doc_id", "text", "lang")
+    found = language.predict_languages(documents, "doc_id", "text", model)
+    return found.select(
+        "doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_jaccard": op2_jaccard,
+        "op3_quality": op3_quality,
         "op4_packing": op4_packing,
+        "op7_language": op7_language,
     }
 
 
