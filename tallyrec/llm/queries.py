@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import jaccard, language, packing, pieces, quality
+from tallyrec.llm import html_text, jaccard, language, packing, pieces, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents, "doc_id", "text", WORD_MODEL, END_ID, SEQUENCE).drop("ids")
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned outside the held-out fold."""
     documents = _table(spark, sf_dir, "documents")
@@ -67,6 +72,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_jaccard": op2_jaccard,
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
+        "op5_html": op5_html,
         "op7_language": op7_language,
     }
 
