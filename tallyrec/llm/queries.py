@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrec.llm import html_text, jaccard, language, packing, pieces, quality
+from tallyrec.llm import html_text, jaccard, language, licenses, packing, pieces, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,12 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and template matches of every document."""
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.drop("matches")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -74,6 +80,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_packing": op4_packing,
         "op5_html": op5_html,
         "op7_language": op7_language,
+        "op9_licenses": op9_licenses,
     }
 
 
