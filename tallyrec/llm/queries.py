@@ -7,8 +7,19 @@ from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tallyrec.llm import html_text, jaccard, language, licenses, packing, pieces, quality
+from pyspark.sql import functions as F
+
+from tallyrec.llm import (
+    cosine,
+    html_text,
+    jaccard,
+    language,
+    licenses,
+    packing,
+    pieces,
+    quality,
+    topk,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +67,11 @@ def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label linked at a cosine of 0.98, with their components."""
+    return cosine.near_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned outside the held-out fold."""
     documents = _table(spark, sf_dir, "documents")
@@ -66,6 +82,12 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best integer inner products of every fiftieth vector against all others."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_products(vectors, "vec_id", "embedding", F.col("id") % 50 == 0)
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and template matches of every document."""
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -79,10 +101,33 @@ def llm_queries() -> dict[str, Query]:
         "op3_quality": op3_quality,
         "op4_packing": op4_packing,
         "op5_html": op5_html,
+        "op6_near_vectors": op6_near_vectors,
         "op7_language": op7_language,
+        "op8_topk": op8_topk,
         "op9_licenses": op9_licenses,
     }
 
 
+#: floor(256 * x) of every usable vector, and the five best of every query.
+_TOPK_SQL = """
+WITH usable AS (
+  SELECT vec_id,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op8_topk": _TOPK_SQL}
