@@ -40,7 +40,20 @@ def map_arrow(
     return df.select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(function, schema)
 
 
-def int_bytes_to_list(data: bytes, dtype: str) -> list[int]:
-    import numpy as np
-
-    return np.frombuffer(data, dtype=dtype).tolist()
+def keep_rows(
+    df: DataFrame, column: str, decide: Callable[[list], list[bool]], limit: int = GROUP_BYTES
+) -> DataFrame:
+    """Rows of ``df``, all columns as they are, for whose ``column`` ``decide`` says so."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept: list[bool] = []
+            if pa.types.is_string(batch.column(at).type):
+                for _, texts in text_groups(batch, at, limit):
+                    kept.extend(decide(texts))
+            else:
+                kept = list(decide(batch.column(at).to_pylist()))
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import map_arrow, text_groups
+from tallyrec.llm.batches import keep_rows, map_arrow, text_groups
 from tallyrec.llm.bitmaps import bitmap, in_bitmap
 from tallyrec.llm.graph import components
 from tallyrec.llm.shingles import mix, shingle_set
@@ -451,3 +451,29 @@ def _spanning_links(
         above.select(F.col("v").alias("root"), F.col("root").alias("top")), "root", "left"
     ).select("v", F.coalesce("top", "root").alias("root"))
     return links.union(more), materialise(final, "jaccard-roots")
+
+
+def one_of_each(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Rows, as they are, without those that link with a smaller id; of repeated ids one row.
+
+    Rows without id stay. Only rows that a bitmap of the ids in question lets through are
+    shuffled; the others are clear at once.
+    """
+    found = materialise(jaccard_join(df, id_column, text_column).documents(), "jaccard-documents")
+    gone = found.where("doc_id <> component_id").select("doc_id")
+    twice = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1")
+    gone = materialise(gone.distinct(), "jaccard-gone")
+    shared = df.sparkSession.sparkContext.broadcast(
+        np.packbits(bitmap(gone.union(twice.select("doc_id")), "doc_id", DOC_BITS))
+    )
+
+    def in_question(ids: list[int | None]) -> np.ndarray:
+        bits = np.unpackbits(shared.value).view(bool)
+        known = np.array([i is not None for i in ids], dtype=bool)
+        values = np.array([0 if i is None else i for i in ids], dtype=np.int64)
+        return in_bitmap(bits, values) & known
+
+    clear = keep_rows(df, id_column, lambda ids: (~in_question(ids)).tolist())
+    doubtful = keep_rows(df, id_column, lambda ids: in_question(ids).tolist())
+    rest = doubtful.join(gone.withColumnRenamed("doc_id", id_column), id_column, "left_anti")
+    return clear.unionByName(rest.dropDuplicates([id_column]).select(*df.columns))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import map_arrow, text_groups
+from tallyrec.llm.batches import keep_rows, map_arrow, text_groups
 from tallyrec.llm.linear import fit_logistic, pack_sparse, sampled, sigmoid, unpack_sparse
 
 UNKNOWN = "und"
@@ -153,6 +153,23 @@ def fit_languages(
     return LanguageModel(names, code, weights, offsets, (trust / trust.mean()).astype(np.float32))
 
 
+def _decoded(texts: list[str | None], model: LanguageModel | None) -> tuple[list[str], np.ndarray]:
+    names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    rows = [ngram_features(t) if model else None for t in texts]
+    at = [k for k, r in enumerate(rows) if r is not None]
+    if at and model:
+        best, scores[at] = model.decode(np.stack([rows[k] for k in at]))
+        for k, c in zip(at, best.tolist(), strict=True):
+            names[k] = model.names[c]
+    return names, scores
+
+
+def keep_known(df: DataFrame, text_column: str, model: LanguageModel | None) -> DataFrame:
+    """Rows, as they are, whose text is clearly in a learned language."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return keep_rows(df, text_column, lambda texts: (_decoded(texts, shared.value)[1] >= CLEAR).tolist())
+
+
 def predict_languages(
     df: DataFrame, id_column: str, text_column: str, model: LanguageModel | None
 ) -> DataFrame:
@@ -160,16 +177,9 @@ def predict_languages(
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
             for start, texts in text_groups(batch, 1):
-                names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-                rows = [ngram_features(t) if known else None for t in texts]
-                at = [k for k, r in enumerate(rows) if r is not None]
-                if at:
-                    best, scores[at] = known.decode(np.stack([rows[k] for k in at]))
-                    for k, c in zip(at, best.tolist(), strict=True):
-                        names[k] = known.names[c]
+                names, scores = _decoded(texts, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(texts)).cast(pa.int64()),

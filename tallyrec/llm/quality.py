@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import map_arrow, text_groups
+from tallyrec.llm.batches import keep_rows, map_arrow, text_groups
 from tallyrec.llm.linear import fit_logistic, pack_sparse, sampled, sigmoid, unpack_sparse
 from tallyrec.llm.shingles import word_hashes
 
@@ -266,21 +266,31 @@ def fit_quality(
     return QualityModel(weights, float(offset[0]), named, prior)
 
 
+def _scores(texts: list[str | None], model: QualityModel | None) -> np.ndarray:
+    scores = np.zeros(len(texts))
+    at = [k for k, t in enumerate(texts) if t and t.split()]
+    if at and model is None:
+        scores[at] = KEEP
+    elif at and model:
+        x = np.stack([hashed_features(Shape.of(texts[k])) for k in at])
+        scores[at] = sigmoid(x @ model.weights[:, 0] + model.offset)
+    return scores
+
+
+def keep_good(df: DataFrame, text_column: str, model: QualityModel | None) -> DataFrame:
+    """Rows, as they are, whose text scores high enough."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return keep_rows(df, text_column, lambda texts: (_scores(texts, shared.value) >= KEEP).tolist())
+
+
 def score_quality(df: DataFrame, id_column: str, text_column: str, model: QualityModel | None) -> DataFrame:
     """Per row: id, score from 0 to 1, kept."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in batches:
             for start, texts in text_groups(batch, 1):
-                scores = np.zeros(len(texts))
-                at = [k for k, t in enumerate(texts) if t and t.split()]
-                if at and known is None:
-                    scores[at] = KEEP
-                elif at:
-                    x = np.stack([hashed_features(Shape.of(texts[k])) for k in at])
-                    scores[at] = sigmoid(x @ known.weights[:, 0] + known.offset)
+                scores = _scores(texts, shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(texts)).cast(pa.int64()),

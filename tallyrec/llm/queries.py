@@ -35,9 +35,13 @@ PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers on this machine find the package wherever the driver was started
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers on this machine find the package wherever the driver was started."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
