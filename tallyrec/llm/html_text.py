@@ -7,7 +7,7 @@ spread of the ratios form the content cluster. Elements that are never part of a
 article (menus, headers, footers, asides, forms, scripts, styles, adverts, notices,
 reader comments, hidden parts) carry no content lines. The regions selected are the
 articles (or main elements) that hold cluster lines; in a page without such elements,
-the container with most text of the cluster and the cluster lines elsewhere. Within a
+the container with most text of the cluster and lines elsewhere that stand out by themselves. Within a
 region every line stays, however short.
 
 Defined results: a null, empty or blank page has empty text; a page where no line stands
@@ -17,6 +17,7 @@ gives an empty table; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -176,6 +177,8 @@ def page_lines(html: str) -> PageLines:
     while at < len(html):
         page.feed(html[at : at + size])
         at, size = at + size, 2 * size
+    if re.match("<[a-zA-Z/!?]", page.rawdata):
+        page.rawdata = ""  # a tag that the page ends in is no text
     page.close()
     page.flush()
     return page
@@ -225,8 +228,10 @@ def content_lines(page: PageLines) -> list[str]:
             at = page.parents[at]
         return at == main
 
+    # elsewhere a line must stand out by itself: smoothing reaches over the region's edge
+    strong = cluster & (ratios > THRESHOLD * smooth.std())
     return [
-        x.text for x, c in zip(lines, cluster, strict=True) if not x.excluded and (c or under(x.container))
+        x.text for x, c in zip(lines, strong, strict=True) if not x.excluded and (c or under(x.container))
     ]
 
 
