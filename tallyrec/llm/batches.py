@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,3 +58,19 @@ def keep_rows(
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Smaller Arrow batches while large rows (whole blocks, whole sets) are worked on.
+
+    Spark counts the rows of a batch, not their bytes. What is to use the setting must be
+    planned and run inside.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

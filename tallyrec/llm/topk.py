@@ -29,14 +29,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import map_arrow
+from tallyrec.llm.batches import arrow_rows, map_arrow
 from tallyrec.llm.cosine import usable
 from tallyrec.sources.stage import materialise
 
-BLOCK = 8192
+BLOCK = 4096
 QUERIES = 256
 GROUP = 8
+#: Blocks handed to Python at once.
+BLOCKS_AT_ONCE = 4
 _EXACT = 2.0**52
+_LONG = 2.0**63
 
 
 def integers(x: np.ndarray, scale: float) -> np.ndarray:
@@ -80,9 +83,9 @@ def best_of_block(
         score = score + query[start:stop] @ part.astype(kind)
         slack = (query_rest[g + 1] * rest[g + 1][alive]) * (1 + 1e-9)
         if len(alive) > k:
-            sure = np.asarray(score - slack, dtype=np.float64)
+            sure = np.clip(np.asarray(score - slack, dtype=np.float64), -_LONG, _LONG)
             floor = max(floor, np.partition(sure, len(sure) - k)[len(sure) - k])
-        able = np.asarray(score + slack, dtype=np.float64)
+        able = np.clip(np.asarray(score + slack, dtype=np.float64), -_LONG, _LONG)
         keep = able >= floor - abs(floor) * 1e-9
         if not keep.all():
             alive, score = alive[keep], score[keep]
@@ -185,13 +188,13 @@ def top_products(
                     floor = float(heap[0][0]) if len(heap) == k else -np.inf
                     at, scores = best_of_block(value, query_rest, columns, rest, ids == query, k, floor)
                     for one, score in zip(ids[at].tolist(), scores.tolist(), strict=True):
-                        entry = (int(score), -one)
+                        entry = (min(max(int(score), -(2**63)), 2**63 - 1), -one)
                         if len(heap) < k:
                             heapq.heappush(heap, entry)
                         elif entry > heap[0]:
                             heapq.heapreplace(heap, entry)
         rows = [
-            (query, -one, min(max(score, -(2**63)), 2**63 - 1))
+            (query, -one, score)
             for query, heap in best.items()
             for score, one in heap
         ]
@@ -200,9 +203,9 @@ def top_products(
                 [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["query_id", "vec_id", "score"]
             )
 
-    found = map_arrow(
-        met, met.columns, run, "query_id bigint, vec_id bigint, score bigint"
-    )
+    schema = "query_id bigint, vec_id bigint, score bigint"
+    with arrow_rows(df.sparkSession, BLOCKS_AT_ONCE):
+        found = materialise(map_arrow(met, met.columns, run, schema), "topk-found")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
