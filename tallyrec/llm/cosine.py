@@ -29,14 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import map_arrow
+from tallyrec.llm.batches import arrow_rows, map_arrow
 from tallyrec.llm.graph import components
 from tallyrec.sources.stage import materialise
 
-TABLES = 8
+TABLES = 5
 #: Buckets per table and vector: the nearest axes and the next best combinations.
-PROBES = 4
-BLOCK = 512
+PROBES = 2
+#: Members of a block, and block pairs handed to Python at once.
+BLOCK = 256
+CELLS_AT_ONCE = 64
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -99,6 +101,19 @@ def usable(vectors: pa.Array) -> list[np.ndarray | None]:
     return out
 
 
+def pack_vector(x: np.ndarray) -> bytes:
+    """Single precision if that keeps the values, else double."""
+    with np.errstate(over="ignore"):
+        small = x.astype("<f4")
+    return b"f" + small.tobytes() if (small == x).all() else b"d" + x.astype("<f8").tobytes()
+
+
+def unpack_unit(data: bytes) -> np.ndarray:
+    """The vector scaled to length 1, in double precision."""
+    x = np.frombuffer(data, "<f4" if data[:1] == b"f" else "<f8", offset=1).astype(np.float64)
+    return _unit(x)
+
+
 def _unit(x: np.ndarray) -> np.ndarray | None:
     """Scaled to length 1 without overflow; None for zero."""
     top = np.abs(x).max()
@@ -109,19 +124,17 @@ def _unit(x: np.ndarray) -> np.ndarray | None:
 
 
 def classes_of(df: DataFrame, id_column: str, vector_column: str, label_column: str) -> DataFrame:
-    """Per row: vec_id, label, unit (bytes; null: takes no part), print (of label and vector)."""
+    """Per row: vec_id, label, unit (packed vector; null: takes no part), print (of label and vector)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = batch.column(2).cast(pa.string())
             units, prints = [], []
             for x, label in zip(usable(batch.column(1)), labels.to_pylist(), strict=True):
-                u = None if x is None or label is None else _unit(x)
-                units.append(None if u is None else u.astype("<f8").tobytes())
+                u = None if x is None or label is None or not x.any() else pack_vector(x + 0.0)
+                units.append(u)
                 prints.append(
-                    None
-                    if u is None
-                    else hashlib.blake2b(f"{label} ".encode() + x.tobytes(), digest_size=16).digest()
+                    None if u is None else hashlib.blake2b(f"{label} ".encode() + u, digest_size=16).digest()
                 )
             yield pa.RecordBatch.from_arrays(
                 [
@@ -146,7 +159,7 @@ def _bucket_rows(classes: DataFrame, tables: int, probes: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = [np.frombuffer(u.as_py(), "<f8") for u in batch.column(2)]
+            units = [unpack_unit(u.as_py()) for u in batch.column(2)]
             widths = np.array([len(u) for u in units], dtype=np.int64)
             for width in np.unique(widths):
                 at = np.flatnonzero(widths == width)
@@ -156,7 +169,7 @@ def _bucket_rows(classes: DataFrame, tables: int, probes: int) -> DataFrame:
                     each = tables * probes
                     flat = codes.reshape(n, each)
                     rows = pa.array(np.repeat(part, each))
-                    own = pa.array([c.astype("<i8").tobytes() for c in flat], pa.binary())
+                    own = pa.array([c.astype("<i4").tobytes() for c in flat], pa.binary())
                     keep = pa.array(flat.ravel() >= 0)
                     table = pa.RecordBatch.from_arrays(
                         [
@@ -197,30 +210,31 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, slot: int, bucket: int, probes:
 def _block_links(cells: DataFrame, least: float, probes: int) -> DataFrame:
     """Sums of links and spanning links of each pair of blocks."""
 
+    def side(members: pa.Scalar) -> tuple[np.ndarray, ...]:
+        m = members.values
+        return (
+            np.stack([unpack_unit(u) for u in m.field("unit").to_pylist()]),
+            m.field("doc").to_numpy(zero_copy_only=False),
+            m.field("m").to_numpy(zero_copy_only=False),
+            np.stack([np.frombuffer(c, "<i4") for c in m.field("codes").to_pylist()]),
+        )
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                left, right = row["left"], row["right"]
-                x, y = ([np.frombuffer(v["unit"], "<f8") for v in side] for side in (left, right))
-                x, y = np.stack(x), np.stack(y)
-                i, j = np.nonzero(x @ y.T >= least)
-                ids = [np.array([v["doc"] for v in side]) for side in (left, right)]
-                sizes = [np.array([v["m"] for v in side]) for side in (left, right)]
-                if row["same"]:
+            for k in range(batch.num_rows):
+                slot, bucket, same = (batch.column(c)[k].as_py() for c in range(3))
+                left = side(batch.column(3)[k])
+                right = left if same else side(batch.column(4)[k])
+                i, j = np.nonzero(left[0] @ right[0].T >= least)
+                ids, sizes, codes = zip(left[1:], right[1:], strict=True)
+                if same:
                     keep = ids[0][i] < ids[1][j]
                     i, j = i[keep], j[keep]
-                codes = [
-                    np.stack([np.frombuffer(v["codes"], "<i8") for v in side]) for side in (left, right)
+                keep = [
+                    _first_meeting(codes[0][i[at : at + 65536]], codes[1][j[at : at + 65536]], slot, bucket, probes)
+                    for at in range(0, len(i), 65536)
                 ]
-                keep = np.concatenate(
-                    [
-                        _first_meeting(
-                            codes[0][i[k : k + 65536]], codes[1][j[k : k + 65536]], row["slot"], row["bucket"], probes
-                        )
-                        for k in range(0, len(i), 65536)
-                    ]
-                    or [np.empty(0, dtype=bool)]
-                )
+                keep = np.concatenate(keep) if keep else np.empty(0, dtype=bool)
                 i, j = i[keep], j[keep]
                 if not len(i):
                     continue
@@ -290,15 +304,24 @@ def near_vectors(
         .withColumn("part", F.pmod(F.xxhash64("doc", "slot"), F.col("blocks")))
     )
     cells = materialise(
-        placed.groupBy(*key, "part").agg(
+        placed.groupBy(*key, "part", "blocks").agg(
             F.collect_list(F.struct("doc", "m", "unit", "codes")).alias("members")
         ),
         "cosine-cells",
     )
-    one = cells.withColumnsRenamed({"members": "left", "part": "i"})
-    two = cells.withColumnsRenamed({"members": "right", "part": "j"})
-    pairs = one.join(two, key).where("i <= j").withColumn("same", F.expr("i = j"))
-    found = materialise(_block_links(pairs, least, probes), "cosine-links")
+    # within a block, and between the blocks of a crowded bucket
+    within = cells.select(
+        "slot", "bucket", F.lit(True).alias("same"), F.col("members").alias("left"), F.lit(None).alias("right")
+    )
+    some = cells.where("blocks > 1")
+    one = some.select(*key, F.col("part").alias("i"), F.col("members").alias("left"))
+    two = some.select(*key, F.col("part").alias("j"), F.col("members").alias("right"))
+    between = one.join(two, key).where("i < j").select("slot", "bucket", F.lit(False).alias("same"), "left", "right")
+    within = within.withColumn("right", F.col("right").cast(between.schema["right"].dataType))
+    with arrow_rows(df.sparkSession, CELLS_AT_ONCE):
+        found = materialise(
+            _block_links(within, least, probes).union(_block_links(between, least, probes)), "cosine-links"
+        )
 
     links = found.groupBy("doc").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("doc").alias("a"), F.col("root").alias("b")))
