@@ -35,15 +35,29 @@ def top_products(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
         item_ids = right["item_id"].to_numpy()
         items = _matrix(right["features"], right.num_rows).T
         vectors = _matrix(left["features"], left.num_rows)
+        seen = left["seen"].to_pylist() if "seen" in left.column_names else None
         step = max(1, SLAB_CELLS // right.num_rows)
         for start in range(0, left.num_rows, step):
-            row, col, score = _row_tops(vectors[start : start + step] @ items, item_ids, k)
+            scores = vectors[start : start + step] @ items
+            if seen:
+                _mask(scores, seen[start : start + step], item_ids)
+            row, col, score = _row_tops(scores, item_ids, k)
             found.append((query_ids[start + row], item_ids[col], score))
     merged = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
     types = {"query_id": pa.int64(), "item_id": pa.int64(), "score": pa.float64()}
     return pa.table({n: pa.array(c, t) for (n, t), c in zip(types.items(), merged)})
 
 
+def _mask(scores: np.ndarray, seen: list[list[int] | None], item_ids: np.ndarray) -> None:
+    """Items a query has seen get no score that could be chosen."""
+    order = np.argsort(item_ids)
+    known = item_ids[order]
+    for row, ids in enumerate(seen):
+        if ids:
+            at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+            scores[row, order[at[known[at] == ids]]] = -np.inf
+
+
 def _row_tops(
     scores: np.ndarray, item_ids: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,9 +65,12 @@ def _row_tops(
     if width > k:
         kth = np.partition(scores, width - k, axis=1)[:, width - k]
         # a little lower, to keep what may tie with the k-th once rounded
-        row, col = np.nonzero(scores >= (kth - np.abs(kth) * 2.0 ** (2 - SCORE_BITS))[:, None])
+        slack = np.where(np.isfinite(kth), np.abs(kth), 0) * 2.0 ** (2 - SCORE_BITS)
+        row, col = np.nonzero(scores >= (kth - slack)[:, None])
     else:
         row, col = np.indices(scores.shape).reshape(2, -1)
+    able = scores[row, col] > -np.inf
+    row, col = row[able], col[able]
     fraction, exponent = np.frexp(scores[row, col])
     score = np.ldexp(np.rint(np.ldexp(fraction, SCORE_BITS)), exponent - SCORE_BITS)
     order = np.lexsort((item_ids[col], -score, row))

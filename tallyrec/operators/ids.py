@@ -142,10 +142,11 @@ def encoded_counts(
 
 
 def item_groups(tracks: DataFrame, chunk: int = 1000) -> DataFrame:
-    """(long_id, chunk, msids, types): the submissions that share a recording.
+    """(long_id, chunk, members): the submissions that share a recording.
 
-    The members of a recording are numbered by hash and packed into arrays of at
-    most ``chunk``, so the group of a hot key is many rows, never one.
+    ``members`` is an array of (pos, recording_msid, types). The members of a recording
+    are numbered by hash and packed into arrays of at most ``chunk``, so the group of a
+    hot key is many rows, never one.
     """
     items = materialise(canonical_items(tracks), "canonical-items").withColumn(
         "_key", F.unhex(F.md5("recording_msid"))
@@ -154,21 +155,9 @@ def item_groups(tracks: DataFrame, chunk: int = 1000) -> DataFrame:
     ranked = hashed_rank(items, ["long_id"], "_key", ["recording_msid"], loads)
     numbered = ranked.withColumn("chunk", F.floor((F.col("pos") - 1) / F.lit(chunk)))
     members = F.array_sort(F.collect_list(F.struct("pos", "recording_msid", "types")))
-    return (
-        numbered.groupBy("long_id", "chunk")
-        .agg(members.alias("_m"))
-        .select(
-            "long_id",
-            "chunk",
-            F.col("_m.recording_msid").alias("msids"),
-            F.col("_m.types").alias("types"),
-        )
-    )
+    return numbered.groupBy("long_id", "chunk").agg(members.alias("members"))
 
 
 def ungroup_items(groups: DataFrame) -> DataFrame:
     """(long_id, recording_msid, types): the members of :func:`item_groups`, one per row."""
-    zipped = F.explode(F.arrays_zip("msids", "types")).alias("_m")
-    return groups.select("long_id", zipped).select(
-        "long_id", F.col("_m.msids").alias("recording_msid"), F.col("_m.types").alias("types")
-    )
+    return groups.select("long_id", F.inline("members")).drop("pos")

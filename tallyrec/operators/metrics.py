@@ -40,7 +40,8 @@ def evaluate(
     lists, plus whichever of ``groups`` it depends on, plus the ``model`` column
     whose possible ``values`` are given so that a model without any hit still
     gets its row of zeros. ``population`` says which users are averaged over:
-    every user with ground truth, or ("both") those who also have a list.
+    every user with ground truth, or ("both") those who also have a list, of the
+    model at hand if there are several; a model without any such user has no row.
     """
     require_columns(truth, [*groups, "user_id", "item_id"], "evaluate: truth")
     require_columns(lists, ["rank", "item_id", *([model] if model else [])], "evaluate: lists")
@@ -58,9 +59,12 @@ def evaluate(
     listed = unique_by(
         lists.where(F.col("rank") <= list_size), [*models, *owner, "item_id"], ["rank"], "list item"
     )
+    counted = sizes
     if per_user:
         if population == "both":
-            sizes = sizes.join(lists.select(*owner).distinct(), owner, "left_semi")
+            # a model answers for the users it has a list for, not for another model's
+            owners = lists.select(*models, *owner).distinct()
+            counted = sizes.join(owners, owner)
     else:
         # list_size rows per model value and shared group, all named by the caller
         listed = F.broadcast(listed)
@@ -74,9 +78,12 @@ def evaluate(
         *[F.sum(metric).alias(name) for name, metric in zip(names, metrics)]
     )
 
-    users = sizes.groupBy(*groups).agg(F.count(F.lit(1)).alias("users"))
-    if model:
-        users = users.withColumn(model, F.explode(F.array(*[F.lit(v) for v in values])))
+    if model and per_user and population == "both":
+        users = counted.groupBy(*groups, model).agg(F.count(F.lit(1)).alias("users"))
+    else:
+        users = counted.groupBy(*groups).agg(F.count(F.lit(1)).alias("users"))
+        if model:
+            users = users.withColumn(model, F.explode(F.array(*[F.lit(v) for v in values])))
     averaged = [
         (F.coalesce(F.col(n), F.lit(0.0)) / F.col("users")).alias(n) for n in names
     ]

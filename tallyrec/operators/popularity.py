@@ -80,14 +80,63 @@ def name_items(lists: DataFrame, tracks: DataFrame) -> DataFrame:
     )
 
 
-def personal_lists(best: DataFrame, users: DataFrame) -> DataFrame:
-    """A global list given to every user: the ``k`` rows travel as one array."""
-    entries = F.array_sort(F.collect_list(F.struct("rank", "item_id", "score")))
-    return users.select("user_id", F.inline(best.agg(entries.alias("e")).scalar()))
+def rank_items(scored: DataFrame, score: str) -> DataFrame:
+    """(rank, item_id, score) of all items, best first, ties to the smaller item.
+
+    Range partitions are ranked apart and shifted by the rows before them, one number
+    per partition; no task sorts all items.
+    """
+    order = [F.desc(score), F.asc("item_id")]
+    dealt = scored.select("item_id", score).repartitionByRange(*order)
+    # stored, so that a row's partition is the same wherever it is read
+    dealt = materialise(dealt.withColumn("_part", F.spark_partition_id()), "ranked-items")
+    totals = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    lower = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_part", F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_shift"))
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return (
+        dealt.withColumn("_pos", local)
+        .join(F.broadcast(shifts), "_part")
+        .select(
+            (F.col("_pos") + F.col("_shift")).alias("rank"),
+            "item_id",
+            F.col(score).cast("double").alias("score"),
+        )
+    )
+
+
+def unseen_lists(ranked: DataFrame, train: DataFrame, k: int = 100) -> DataFrame:
+    """(user_id, rank, item_id, score): every user's ``k`` best items not yet had.
+
+    ``ranked`` is :func:`rank_items`. If a user's seen items stand at global ranks
+    r1 < r2 < ..., the p-th unseen item stands at p plus the number of j with
+    r_j - j < p; so only seen items near the top matter, and the lists are whole
+    (k rows, or all unseen items if there are fewer).
+    """
+    ranks = materialise(ranked, "global-ranks")
+    seen = train.select("user_id", "item_id").distinct().join(ranks.select("item_id", "rank"), "item_id")
+    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("rank"))
+    before = seen.select("user_id", (F.col("rank") - nth).alias("unseen_before")).where(
+        F.col("unseen_before") < k
+    )
+    skips = before.groupBy("user_id").agg(F.collect_list("unseen_before").alias("_skips"))
+    users = train.select("user_id").where("user_id is not null").distinct()
+    wanted = users.join(skips, "user_id", "left").select(
+        "user_id",
+        F.coalesce("_skips", F.array().cast("array<bigint>")).alias("_skips"),
+        F.explode(F.sequence(F.lit(1), F.lit(k))).alias("place"),
+    )
+    at = F.col("place") + F.size(F.filter("_skips", lambda x: x < F.col("place")))
+    return wanted.select("user_id", "place", at.cast("bigint").alias("_at")).join(
+        ranks.withColumnRenamed("rank", "_at").withColumn("_at", F.col("_at").cast("bigint")), "_at"
+    ).select("user_id", F.col("place").alias("rank"), "item_id", "score")
 
 
 def without_seen(lists: DataFrame, train: DataFrame) -> DataFrame:
-    """Per-user lists without the items the user already has, ranks closed up."""
+    """Given per-user lists less the items the user has, ranks closed up.
+
+    Lists that were cut before come out shorter; :func:`unseen_lists` makes whole ones.
+    """
     unseen = lists.join(train, ["user_id", "item_id"], "left_anti")
     again = Window.partitionBy("user_id").orderBy("rank")
     return unseen.withColumn("rank", F.row_number().over(again))

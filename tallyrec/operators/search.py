@@ -37,10 +37,14 @@ def exact_topk(
 ) -> DataFrame:
     """(query_id, rank, item_id, score) of the ``k`` largest inner products per query.
 
+    A column ``seen`` of the queries holds item ids to leave out before the cut at
+    ``k``. A vector that is null or empty, holds a null or non-finite number, or has
+    another length than the first item fails the query.
+
     Scores every pair, so the work grows with queries x items: this is the truth
     that :func:`lsh_topk` is judged against, not the way to search a large table.
     """
-    _check(queries, items)
+    queries, items = _checked(queries, items)
     n_queries, n_items = queries.count(), items.count()
     i_parts = max(1, math.ceil(n_items / block_rows))
     # small searches still use every core: cut the queries, the items stay whole
@@ -49,7 +53,8 @@ def exact_topk(
         1, math.ceil(n_queries / block_rows), min(wanted, math.ceil(n_queries / _MIN_QUERIES))
     )
     q = queries.select(
-        "query_id", "features", _part("query_id", F.lit(q_parts)).alias("_q"),
+        "query_id", "features", *(["seen"] if "seen" in queries.columns else []),
+        _part("query_id", F.lit(q_parts)).alias("_q"),
         _each(F.lit(i_parts)).alias("_i"),
     )
     i = items.select(
@@ -104,7 +109,7 @@ def hash_vectors(
     One extra coordinate lifts every item to the same norm and is 0 in queries,
     so that the nearest items of a query are those with the largest product.
     """
-    _check(queries, items)
+    queries, items = _checked(queries, items)
     norm2 = F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     longest = items.agg(F.max(F.sqrt(norm2))).first()[0]
     scale = F.lit(longest or 1.0)
@@ -148,9 +153,26 @@ def recall_of(exact: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def _check(queries: DataFrame, items: DataFrame) -> None:
+def _checked(queries: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with vectors that are whole, finite and of one length, or an error."""
     require_columns(queries, ["query_id", "features"], "search: queries")
     require_columns(items, ["item_id", "features"], "search: items")
+    first = items.select(F.size("features").alias("n")).where("n > 0").first()
+    if first is None:
+        return _sound(queries, None), _sound(items, None)
+    return _sound(queries, first["n"]), _sound(items, first["n"])
+
+
+def _sound(side: DataFrame, length: int | None) -> DataFrame:
+    kind = side.schema["features"].dataType
+    whole = F.forall(
+        "features", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+    )
+    sized = F.size("features") == length if length else F.size("features") > 0
+    error = F.raise_error(F.lit("search: a vector is null, ragged or not finite")).cast(kind)
+    return side.withColumn(
+        "features", F.when(F.coalesce(whole & sized, F.lit(False)), F.col("features")).otherwise(error)
+    )
 
 
 def _part(key: str, parts: Column) -> Column:

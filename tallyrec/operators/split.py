@@ -123,21 +123,25 @@ def split_counts(
     Users below the activity percentile of their own kind are dropped. The last
     fold of a training user is its validation split; test rows have no folds.
     """
-    folded = assign_folds(counts, activity, params, by=["kind"], **skew)
     # two rows: one per kind
     limits = F.broadcast(activity_threshold(activity, params.percentile_cut, ["kind"]))
-    split = (
-        F.when(F.col("kind") == "test", "test")
-        .when(F.col("fold") < params.folds, "train")
-        .otherwise("val")
+    active = activity.join(limits, "kind").where(F.col("pairs") >= F.col("threshold"))
+    active = active.select("kind", "user_id", "pairs")
+    known = active.select(F.col("kind").alias("_kind"), F.col("user_id").alias("_user"))
+    # a user without id is a user like any other here
+    same = (F.col("kind") == F.col("_kind")) & F.col("user_id").eqNullSafe(F.col("_user"))
+    kept = counts.join(known, same, "left_semi")
+    train = assign_folds(
+        kept.where("kind <> 'test'"), active.where("kind <> 'test'"), params, by=["kind"], **skew
     )
-    return (
-        folded.join(limits, "kind")
-        .where(F.col("size") >= F.col("threshold"))
-        .select(split.alias("split"), "user_id", "item_id", "n")
+    split = F.when(F.col("fold") < params.folds, "train").otherwise("val")
+    return train.select(split.alias("split"), "user_id", "item_id", "n").unionByName(
+        kept.where("kind = 'test'").select(F.lit("test").alias("split"), "user_id", "item_id", "n")
     )
 
 
-def uncovered_users(folded: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:
-    """Users too small to have a validation row."""
-    return folded.where(F.col("size") < params.folds).select("user_id", "size").distinct()
+def uncovered_users(activity: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:
+    """Users too small to have a validation row, from :func:`user_activity` alone."""
+    return activity.where(F.col("pairs") < params.folds).select(
+        "user_id", F.col("pairs").alias("size")
+    )

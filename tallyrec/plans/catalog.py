@@ -32,9 +32,10 @@ from tallyrec.operators.popularity import (
     active_items,
     damped_vote_lists,
     name_items,
-    personal_lists,
+    item_popularity,
     popularity_list,
-    without_seen,
+    rank_items,
+    unseen_lists,
 )
 from tallyrec.operators.ranking import ground_truth
 from tallyrec.operators.search import (
@@ -57,6 +58,7 @@ from tallyrec.sources.tables import read_artifact, read_csv, tag, write_artifact
 Query = Callable[[SparkSession, str], DataFrame]
 
 STABILITY_SEEDS = (10, 11, 12)
+UNSEEN_LIST = 20
 FRACTIONS = (0.1, 0.25, 0.5, 1.0)
 EVENTS_LIST = 10  # the events log has only 100 items
 BETAS = VoteParams().betas
@@ -176,7 +178,7 @@ def split_sizes_latent(spark, sf_dir):
 @_query
 def users_without_validation(spark, sf_dir):
     counted = _only(count_log(fixtures.orders_interactions(spark, sf_dir)), "train")
-    return uncovered_users(assign_folds(counted.counts, counted.activity))
+    return uncovered_users(counted.activity)
 
 
 # --- ground truth ---------------------------------------------------------------
@@ -275,13 +277,21 @@ def map_hit_norm(spark, sf_dir):
 @_query
 def map_popularity_unseen(spark, sf_dir):
     """Popularity without the items a user already has in training."""
-    splits = prepare_splits(fixtures.events_interactions(spark, sf_dir))
+    splits = prepare_splits(fixtures.orders_interactions(spark, sf_dir))
     train = _train(splits)
-    lists = personal_lists(popularity_list(train), train.select("user_id").distinct())
-    metrics = evaluate(ground_truth(splits), without_seen(lists, train), ks=(10,))
+    lists = unseen_lists(rank_items(item_popularity(train), "users"), train, UNSEEN_LIST)
+    metrics = evaluate(ground_truth(splits), lists, ks=(10,), list_size=UNSEEN_LIST)
     return _out(metrics)
 
 
+@_query
+def unseen_list_sizes(spark, sf_dir):
+    """Every user's popularity list of unseen items is whole: k items, or all there are."""
+    train = _train(prepare_splits(fixtures.orders_interactions(spark, sf_dir)))
+    lists = unseen_lists(rank_items(item_popularity(train), "users"), train, UNSEEN_LIST)
+    return _longs(lists.groupBy("user_id").agg(F.count(F.lit(1)).alias("items"), F.sum("item_id").alias("total")))
+
+
 @_query
 def ranking_metrics_at_k(spark, sf_dir):
     log = fixtures.orders_interactions(spark, sf_dir)
@@ -385,7 +395,8 @@ def _maps(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 
 @_query
 def encoded_interactions(spark, sf_dir):
-    return ids.encode(_keyed_log(spark, sf_dir), *_maps(spark, sf_dir))
+    # both maps are unique by construction
+    return ids.encode(_keyed_log(spark, sf_dir), *_maps(spark, sf_dir), trusted=True)
 
 
 @_query
@@ -418,7 +429,8 @@ def item_groups(spark, sf_dir):
     groups = ids.item_groups(_id_sources(spark, sf_dir)[1])
     return groups.select(
         "long_id", "chunk",
-        F.array_join("msids", ",").alias("msids"), F.array_join("types", ";").alias("types"),
+        F.array_join("members.recording_msid", ",").alias("msids"),
+        F.array_join("members.types", ";").alias("types"),
     )
 
 
@@ -494,9 +506,15 @@ def als_top100_builtin(spark, sf_dir):
 
 @_query
 def als_unseen(spark, sf_dir):
-    """Recommendations without the items a user already has in training."""
-    train = _train(prepare_splits(fixtures.events_interactions(spark, sf_dir)))
-    return without_seen(recommend(fit_als(als_input(train)), 100), train)
+    """ALS lists without the items a user already has: per user their size and what they hold."""
+    train = _train(prepare_splits(fixtures.orders_interactions(spark, sf_dir)))
+    lists = recommend(fit_als(als_input(train)), UNSEEN_LIST, unseen=True)
+    had = train.select("user_id", "item_id", F.lit(1).alias("had"))
+    sizes = lists.join(had, ["user_id", "item_id"], "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("items"), F.count("had").alias("seen_items"),
+        F.max("rank").alias("last_rank"), F.count_distinct("item_id").alias("different"),
+    )
+    return _longs(sizes)
 
 
 @_query
@@ -573,4 +591,4 @@ def lsh_recall(spark, sf_dir):
 def lsh_map_scores(spark, sf_dir):
     """Accuracy of hashed search over fitted factors, on train, val and test."""
     splits = prepare_splits(fixtures.events_interactions(spark, sf_dir))
-    return lsh_map(splits, AlsParams(rank=8, reg=0.1, max_iter=3), SEARCHES[::3], EVENTS_LIST)
+    return lsh_map(splits, AlsParams(rank=8, reg=0.1, max_iter=3), SEARCHES, EVENTS_LIST)

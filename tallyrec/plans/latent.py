@@ -16,6 +16,7 @@ from tallyrec.operators.factors import (
     fit_als,
     item_factors,
     recommend,
+    release,
     user_factors,
 )
 from tallyrec.operators.metrics import evaluate
@@ -53,6 +54,7 @@ def fitted_lists(
             "user_id", "rank", "item_id", "score",
         )
         tables.append(materialise(lists, "als-lists"))
+        release(fit)
     return reduce(DataFrame.unionByName, tables)
 
 

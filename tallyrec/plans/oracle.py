@@ -68,6 +68,18 @@ best AS (
   FROM popular QUALIFY rank <= {k})"""
 
 
+def _unseen(k: int) -> str:
+    """The k best items of every user after taking away what the user has."""
+    return f"""train AS (SELECT user_id, item_id FROM splits WHERE split = 'train'),
+popular AS (SELECT item_id, count(*) AS users FROM train GROUP BY item_id),
+personal AS (
+  SELECT u.user_id, p.item_id,
+         row_number() OVER (PARTITION BY u.user_id ORDER BY p.users DESC, p.item_id) AS rank
+  FROM (SELECT DISTINCT user_id FROM train) u CROSS JOIN popular p ANTI JOIN train
+    ON train.user_id = u.user_id AND train.item_id = p.item_id
+  QUALIFY rank <= {k})"""
+
+
 def _votes(betas: Sequence[int], k: int = 100) -> str:
     grid = ", ".join(f"({b})" for b in betas)
     return f"""train AS (SELECT * FROM splits WHERE split = 'train'),
@@ -289,16 +301,21 @@ SELECT beta, rank, item_id, round(score, 9) AS score FROM voted""",
 SELECT beta, rank, item_id, round(score, 9) AS score FROM voted""",
         "map_popularity": _popularity_metrics(ORDERS, (), 100, ["map"]),
         "map_hit_norm": _popularity_metrics(EVENTS, (), EVENTS_LIST, ["map", "map_hit_norm"]),
-        "map_popularity_unseen": f"""WITH {_splits(EVENTS)},
+        "map_popularity_unseen": f"""WITH {_splits(ORDERS)},
 {_truth()},
-{_popular(100)},
-train AS (SELECT user_id, item_id FROM splits WHERE split = 'train'),
-personal AS (
-  SELECT u.user_id, item_id, row_number() OVER (PARTITION BY u.user_id ORDER BY best.rank) AS rank
-  FROM (SELECT DISTINCT user_id FROM train) u CROSS JOIN best ANTI JOIN train
-    ON train.user_id = u.user_id AND train.item_id = best.item_id),
+{_unseen(20)},
 {_metrics("SELECT 0 AS model, user_id, rank, item_id FROM personal", _ONE, "split", (10,))}
 SELECT split, users, {_rounded(["map", "map_hit_norm", *_at((10,))])} FROM metrics""",
+        "unseen_list_sizes": f"""WITH {_splits(ORDERS)},
+{_unseen(20)}
+SELECT user_id, count(*) AS items, CAST(sum(item_id) AS BIGINT) AS total FROM personal GROUP BY user_id""",
+        "als_unseen": f"""WITH {_splits(ORDERS)},
+train AS (SELECT DISTINCT user_id, item_id FROM splits WHERE split = 'train'),
+sizes AS (
+  SELECT user_id, least(20, (SELECT count(DISTINCT item_id) FROM train) - count(*)) AS items
+  FROM train GROUP BY user_id)
+SELECT user_id, items, CAST(0 AS BIGINT) AS seen_items, items AS last_rank, items AS different
+FROM sizes WHERE items > 0""",
         "ranking_metrics_at_k": _popularity_metrics(
             ORDERS, at_orders, 100, ["map", "map_hit_norm", *_at(at_orders)]
         ),

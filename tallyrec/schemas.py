@@ -16,13 +16,6 @@ TRACKS = T.StructType(
         T.StructField("artist_name", T.StringType()),
     ]
 )
-COUNTS = T.StructType(
-    [
-        T.StructField("user_id", T.LongType()),
-        T.StructField("item_id", T.LongType()),
-        T.StructField("n", T.LongType()),
-    ]
-)
 # Long-form ranked list of one user; a global list has no user_id.
 LISTS = T.StructType(
     [

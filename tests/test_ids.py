@@ -67,7 +67,7 @@ def test_hot_recording_is_split_into_chunks(spark):
     rows = [(f"m{i}", "hot") for i in range(500)] + [(f"s{i}", None) for i in range(50)]
     tracks = tagged_tracks(spark, rows)
     groups = ids.item_groups(tracks, chunk=64)
-    sizes = [r.n for r in groups.where("long_id = 'hot'").select(F.size("msids").alias("n")).collect()]
+    sizes = [r.n for r in groups.where("long_id = 'hot'").select(F.size("members").alias("n")).collect()]
     assert sorted(sizes) == [500 - 7 * 64] + [64] * 7
     back = {(r.recording_msid, r.long_id) for r in ids.ungroup_items(groups).collect()}
     assert back == {(m, k or m) for m, k in rows}

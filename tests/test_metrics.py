@@ -116,3 +116,13 @@ def test_agrees_with_ranking_evaluator(spark, random_lists):
     )
     got = one(evaluate(truth_of(spark, truth), user_lists(spark, lists), ks=()))
     assert got["map"] == pytest.approx(RankingEvaluator().evaluate(df))
+
+
+def test_each_model_answers_for_its_own_users(spark):
+    truth = spark.createDataFrame([("t", 1, 10), ("t", 2, 20)], "split string, user_id long, item_id long")
+    lists = spark.createDataFrame(
+        [("a", 1, 1, 10), ("b", 1, 1, 10), ("b", 2, 1, 99)],
+        "model string, user_id long, rank int, item_id long",
+    )
+    got = evaluate(truth, lists, ks=(), model="model", values=["a", "b", "c"], population="both").collect()
+    assert {r["model"]: (r["users"], r["map"]) for r in got} == {"a": (1, 1.0), "b": (2, 0.5)}

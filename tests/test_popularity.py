@@ -2,6 +2,9 @@ from tallyrec.operators.popularity import (
     active_items,
     damped_vote_lists,
     popularity_list,
+    item_popularity,
+    rank_items,
+    unseen_lists,
     without_seen,
 )
 from tallyrec.operators.ranking import ground_truth
@@ -44,3 +47,20 @@ def test_seen_items_are_removed_and_ranks_close_up(spark):
     )
     left = without_seen(lists, spark.createDataFrame([(1, 20, 1)], COUNTS)).collect()
     assert sorted((r.rank, r.item_id) for r in left) == [(1, 10), (2, 30)]
+
+
+def test_unseen_lists_are_whole(spark):
+    train = [(1, 10), (1, 30), (2, 10), (2, 20), (2, 30), (2, 40), (3, 10), (4, 20), (4, 30), (None, 50), (5, 60)]
+    df = spark.createDataFrame([(u, i, 1) for u, i in train], COUNTS)
+    ranked = rank_items(item_popularity(df), "users").cache()
+    order = [r.item_id for r in ranked.orderBy("rank").collect()]
+    assert [r.rank for r in ranked.orderBy("rank").collect()] == list(range(1, 7))
+    assert order == [10, 30, 20, 40, 50, 60]
+    for k in (1, 3, 10):
+        got = {}
+        for r in unseen_lists(ranked, df, k).orderBy("user_id", "rank").collect():
+            got.setdefault(r.user_id, []).append(r.item_id)
+            assert r.rank == len(got[r.user_id])
+        for user in (1, 2, 3, 4, 5):
+            had = {i for u, i in train if u == user}
+            assert got.get(user, []) == [i for i in order if i not in had][:k]

@@ -88,3 +88,28 @@ def test_zero_vectors_are_searchable(spark):
     q, i = frame(spark, "query_id", [[0.0, 0.0]]), frame(spark, "item_id", [[0.0, 0.0]])
     assert exact_topk(q, i, 1).select(F.col("score")).first()[0] == 0.0
     assert lsh_topk(q, i, 1).count() <= 1
+
+
+def test_seen_items_are_left_out_before_the_cut(spark, vectors):
+    q, i = frame(spark, "query_id", vectors[0]), frame(spark, "item_id", vectors[1])
+    full = {}
+    for r in exact_topk(q, i, 300).orderBy("query_id", "rank").collect():
+        full.setdefault(r.query_id, []).append(r.item_id)
+    some = q.withColumn("seen", F.expr("case when query_id % 3 > 0 then sequence(query_id, query_id + 150) end"))
+    for block in (40, 1000):
+        got = {}
+        for r in exact_topk(some, i, 7, block_rows=block).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.item_id)
+        for query, order in full.items():
+            had = set(range(query, query + 151)) if query % 3 else set()
+            assert got[query] == [x for x in order if x not in had][:7]
+    every = q.withColumn("seen", F.expr("sequence(0L, 299L)"))
+    assert exact_topk(every, i, 7).count() == 0
+
+
+@pytest.mark.parametrize("bad", [None, [], [1.0, None], [1.0, float("nan")], [float("inf"), 0.0], [1.0, 2.0, 3.0]])
+def test_unsound_vectors_are_refused(spark, bad):
+    good = spark.createDataFrame([(0, [1.0, 2.0])], "query_id long, features array<float>")
+    items = spark.createDataFrame([(0, [1.0, 2.0]), (1, bad)], "item_id long, features array<float>")
+    with pytest.raises(Exception, match="null, ragged or not finite"):
+        exact_topk(good, items.coalesce(1), 1).collect()

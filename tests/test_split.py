@@ -81,7 +81,7 @@ def test_small_user_has_no_validation_row(spark):
     counts = spark.createDataFrame([(1, i, 1) for i in range(4)], "user_id long, item_id long, n long")
     folded = assign_folds(counts, user_activity(counts))
     assert sorted(r.fold for r in folded.collect()) == [1, 2, 3, 4]
-    assert [r.user_id for r in uncovered_users(folded).collect()] == [1]
+    assert [(r.user_id, r.size) for r in uncovered_users(user_activity(counts)).collect()] == [(1, 4)]
 
 
 def test_splits_partition_the_training_counts(spark):
