@@ -1,10 +1,10 @@
 """The batch runs from split files to scored models.
 
-    spark-submit -m tallyrec.plans.runs popularity --data DIR --out DIR
-    spark-submit -m tallyrec.plans.runs ids        --data DIR --out DIR
-    spark-submit -m tallyrec.plans.runs latent     --data DIR --out DIR --ranks 1 4
-    spark-submit -m tallyrec.plans.runs search     --data DIR --out DIR --model 4-2.0-5.0
-    spark-submit -m tallyrec.plans.runs sizes      --data DIR --out DIR
+    spark-submit launch.py popularity --data DIR --out DIR
+    spark-submit launch.py ids        --data DIR --out DIR
+    spark-submit launch.py latent     --data DIR --out DIR --ranks 1 4
+    spark-submit launch.py search     --data DIR --out DIR --model 4-2.0-5.0
+    spark-submit launch.py sizes      --data DIR --out DIR
 
 ``--data`` of popularity and ids holds ``interactions_<split>.parquet``,
 ``tracks_<split>.parquet`` and ``users_<split>.parquet``; latent reads what ids
@@ -109,7 +109,7 @@ def ids_run(
 ) -> DataFrame:
     """Give users and recordings dense ids and encode every split with them.
 
-    Leaves users_with_ids, tracks_with_ids and interactions_<split>_with_ids;
+    Leaves user-numbers, recording-numbers and numbered-<split>;
     returns the rows left without an id, per split.
     """
     inputs = {name: read_split(spark, data, name) for name, _ in splits}
@@ -117,15 +117,15 @@ def ids_run(
     tracks = ids.union_all(
         [tag(inputs[n][1], kind, ["recording_msid", "recording_mbid"]) for n, kind in splits]
     )
-    write_artifact(ids.user_ids(users), out, "users_with_ids")
-    write_artifact(ids.item_ids(tracks), out, "tracks_with_ids")
-    user_map = read_artifact(spark, out, "users_with_ids")
-    item_map = read_artifact(spark, out, "tracks_with_ids")
+    write_artifact(ids.user_ids(users), out, "user-numbers")
+    write_artifact(ids.item_ids(tracks), out, "recording-numbers")
+    user_map = read_artifact(spark, out, "user-numbers")
+    item_map = read_artifact(spark, out, "recording-numbers")
     missing = []
     for name, _ in splits:
         encoded = ids.encode(inputs[name][0], item_map, user_map, trusted=True)
-        write_artifact(encoded, out, f"interactions_{name}_with_ids")
-        stored = read_artifact(spark, out, f"interactions_{name}_with_ids")
+        write_artifact(encoded, out, f"numbered-{name}")
+        stored = read_artifact(spark, out, f"numbered-{name}")
         missing.append(ids.unmatched(stored).withColumn("split", F.lit(name)))
     return ids.union_all(missing)
 
@@ -144,7 +144,7 @@ def latent_run(
     (one per model) and als-metrics.
     """
     train_log, test_log = (
-        read_artifact(spark, data, f"interactions_{n}_with_ids") for n in (train_name, "test")
+        read_artifact(spark, data, f"numbered-{n}") for n in (train_name, "test")
     )
     # events without an id cannot be recommended or learned from
     log = _log(train_log, test_log, "track_id").where("item_id is not null and user_id is not null")

@@ -85,7 +85,7 @@ def test_ids_then_latent_run(spark, data, tmp_path):
     out = str(tmp_path)
     missing = ids_run(spark, data, out).collect()
     assert {(r.no_item, r.no_user) for r in missing} == {(0, 0)}
-    encoded = read_artifact(spark, out, "interactions_train_with_ids")
+    encoded = read_artifact(spark, out, "numbered-train")
     assert encoded.count() == read_split(spark, data, "train")[0].count()
     scores = latent_run(
         spark, out, out, "train_small", SplitParams(percentile_cut=0.2, list_size=10), AlsGrid(ranks=(1, 3))
