@@ -144,5 +144,66 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+#: Shingle sets by list functions, links by an equi-join on shingles, components by recursion.
+_JACCARD_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) END) AS s
+  FROM split
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN size p ON p.doc_id = a.doc_id JOIN size q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), component AS (
+  SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN size z ON z.doc_id = d.doc_id JOIN component c ON c.doc_id = d.doc_id
+"""
+
+#: Cosines of all pairs with equal labels, components by recursion.
+_COSINE_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y
+  FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), component AS (
+  SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x
+), degree AS (
+  SELECT x AS vec_id, count(*) AS n FROM link GROUP BY x
+)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e LEFT JOIN degree d ON d.vec_id = e.vec_id JOIN component c ON c.vec_id = e.vec_id
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op8_topk": _TOPK_SQL}
+    return {
+        "op2_jaccard": _JACCARD_SQL,
+        "op6_near_vectors": _COSINE_SQL,
+        "op8_topk": _TOPK_SQL,
+    }
