@@ -48,7 +48,7 @@ def exact_topk(
     n_queries, n_items = queries.count(), items.count()
     i_parts = max(1, math.ceil(n_items / block_rows))
     # small searches still use every core: cut the queries, the items stay whole
-    wanted = math.ceil(_TASKS_PER_CORE * _cores(queries) / i_parts)
+    wanted = math.ceil(_slots(queries) / i_parts)
     q_parts = max(
         1, math.ceil(n_queries / block_rows), min(wanted, math.ceil(n_queries / _MIN_QUERIES))
     )
@@ -88,15 +88,15 @@ def search_buckets(
     hot = _hot_buckets(q, i, block_rows)
     bucket = ["table", "bucket"]
     q_parts, i_parts = (F.coalesce(c, F.lit(1)) for c in ("_q_parts", "_i_parts"))
-    q = q.join(F.broadcast(hot), bucket, "left").select(
+    q = q.join(hot, bucket, "left").select(
         *bucket, "query_id", "features", _part("query_id", q_parts).alias("_q"),
         _each(i_parts).alias("_i"),
     )
-    i = i.join(F.broadcast(hot), bucket, "left").select(
+    i = i.join(hot, bucket, "left").select(
         *bucket, "item_id", "features", _part("item_id", i_parts).alias("_i"),
         _each(q_parts).alias("_q"),
     )
-    scored = _score_blocks(q, i, [*bucket, "_q", "_i"], k, _TASKS_PER_CORE * _cores(q))
+    scored = _score_blocks(q, i, [*bucket, "_q", "_i"], k, _slots(q))
     # the same pair can meet in several tables
     return _best(scored.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k)
 
@@ -206,7 +206,7 @@ def _bucketed(hashed: DataFrame, key: str, params: SearchParams) -> DataFrame:
 def _hot_buckets(q: DataFrame, i: DataFrame, block_rows: int) -> DataFrame:
     """Buckets too large for one block, with their block counts per side.
 
-    At most (rows of both sides) / block_rows of them exist, hence the broadcast.
+    Their number grows with the rows, so the join's strategy is left to Spark.
     """
 
     def large(side: DataFrame, name: str) -> DataFrame:
@@ -216,8 +216,13 @@ def _hot_buckets(q: DataFrame, i: DataFrame, block_rows: int) -> DataFrame:
     return large(q, "_q_parts").join(large(i, "_i_parts"), ["table", "bucket"], "full")
 
 
-def _cores(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
+def _slots(df: DataFrame) -> int:
+    """Tasks worth having: by the cores seen now, or the session's shuffle width if larger.
+
+    With dynamic allocation few cores may be up when the plan is built.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(_TASKS_PER_CORE * cores, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _score_blocks(q: DataFrame, i: DataFrame, cell: list[str], k: int, cells: int) -> DataFrame:
@@ -226,7 +231,7 @@ def _score_blocks(q: DataFrame, i: DataFrame, cell: list[str], k: int, cells: in
     The number of tasks is fixed because their work is in the products, not in
     the bytes that adaptive execution would merge small partitions by.
     """
-    tasks = min(cells, _TASKS_PER_CORE * _cores(q))
+    tasks = min(cells, _slots(q))
     sides = [side.repartition(tasks, *cell).groupBy(*cell) for side in (q, i)]
     return sides[0].cogroup(sides[1]).applyInArrow(blocks.scorer(k), blocks.SCORED)
 

@@ -25,7 +25,8 @@ def stage_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     return _local_root()
 
