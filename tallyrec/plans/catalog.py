@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyrec.config import AlsGrid, AlsParams, SearchParams, SplitParams, VoteParams
@@ -496,6 +496,61 @@ def als_top100(spark, sf_dir):
     return recommend(fit_als(als_input(_train(splits))), 100)
 
 
+@_query
+def als_list_faults(spark, sf_dir):
+    """What is wrong with the ALS lists: order, repeats, scores that are not the factors' product."""
+    fit = fit_als(als_input(_train(prepare_splits(fixtures.orders_interactions(spark, sf_dir)))))
+    lists = materialise(recommend(fit, 100), "als-lists")
+    users = user_factors(fit).withColumnRenamed("features", "u")
+    items = item_factors(fit).withColumnRenamed("features", "v")
+    product = F.aggregate(
+        F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x
+    )
+    before = F.lag("score").over(Window.partitionBy("user_id").orderBy("rank"))
+    seen = lists.join(users, "user_id").join(items, "item_id").withColumn("_before", before)
+    per_user = seen.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("item_id").alias("different"),
+        F.count_if(F.col("score") > F.col("_before")).alias("order_faults"),
+        F.count_if(F.abs(F.col("score") - product) > 1e-6 * F.abs(product) + 1e-12).alias("score_faults"),
+    )
+    return _longs(
+        per_user.agg(
+            F.count(F.lit(1)).alias("users"),
+            F.sum("rows").alias("rows"),
+            F.sum(F.col("rows") - F.col("different")).alias("repeats"),
+            F.sum("order_faults").alias("order_faults"),
+            F.sum("score_faults").alias("score_faults"),
+        )
+    )
+
+
+@_query
+def als_fit_faults(spark, sf_dir):
+    """Users whose factor does not solve its own equation, given the items' factors (rank 1)."""
+    params = AlsParams()
+    fit = fit_als(als_input(_train(prepare_splits(fixtures.orders_interactions(spark, sf_dir)))), params)
+    items = fit.model.itemFactors.select(F.col("id").alias("item_index"), F.col("features")[0].cast("double").alias("v"))
+    users = fit.model.userFactors.select(F.col("id").alias("user_index"), F.col("features")[0].cast("double").alias("u"))
+    items, users = materialise(items, "als-items"), materialise(users, "als-users")
+    squares = items.agg(F.sum(F.col("v") * F.col("v"))).scalar()
+    sure = F.col("score").cast("double") * params.alpha
+    terms = fit.source.ratings.join(items, "item_index").groupBy("user_index").agg(
+        F.sum((1 + sure) * F.col("v")).alias("right"),
+        F.sum(sure * F.col("v") * F.col("v")).alias("left"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    solved = F.greatest(F.lit(0.0), F.col("right") / (squares + F.col("left") + params.reg * F.col("n")))
+    off = F.abs(F.col("u") - solved) > 1e-3 * F.greatest(solved, F.lit(1e-3))
+    checked = users.join(terms, "user_index", "full")
+    return _longs(
+        checked.agg(
+            F.count(F.lit(1)).alias("users"),
+            F.count_if(F.coalesce(off, F.lit(True))).alias("off"),
+        )
+    )
+
+
 @_query
 def als_top100_builtin(spark, sf_dir):
     """The built-in recommender; as lists of item ids in rank order."""

@@ -309,6 +309,14 @@ SELECT split, users, {_rounded(["map", "map_hit_norm", *_at((10,))])} FROM metri
         "unseen_list_sizes": f"""WITH {_splits(ORDERS)},
 {_unseen(20)}
 SELECT user_id, count(*) AS items, CAST(sum(item_id) AS BIGINT) AS total FROM personal GROUP BY user_id""",
+        "als_list_faults": f"""WITH {_splits(ORDERS)},
+train AS (SELECT DISTINCT user_id, item_id FROM splits WHERE split = 'train')
+SELECT count(DISTINCT user_id) AS users,
+       count(DISTINCT user_id) * least(100, count(DISTINCT item_id)) AS rows,
+       CAST(0 AS BIGINT) AS repeats, CAST(0 AS BIGINT) AS order_faults, CAST(0 AS BIGINT) AS score_faults
+FROM train""",
+        "als_fit_faults": f"""WITH {_splits(ORDERS)}
+SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS off FROM splits WHERE split = 'train'""",
         "als_unseen": f"""WITH {_splits(ORDERS)},
 train AS (SELECT DISTINCT user_id, item_id FROM splits WHERE split = 'train'),
 sizes AS (
