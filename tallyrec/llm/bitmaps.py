@@ -10,7 +10,7 @@ _BLOCK = 32_768  # bits of one value of bitmap_construct_agg
 
 
 def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
-    """Booleans by value modulo ``bits``. At most ``bits / 8`` bytes reach the driver.
+    """One bit for each value modulo ``bits``, eight to a byte. At most ``bits / 8`` bytes reach the driver.
 
     A value that is in ``df`` is always found; others by chance only, more of them as
     the table grows, so an exact join must follow.
@@ -21,12 +21,14 @@ def bitmap(df: DataFrame, column: str, bits: int) -> np.ndarray:
         .groupBy("block")
         .agg(F.bitmap_construct_agg("at").alias("bits"))
     )
-    found = np.zeros(bits, dtype=bool)
+    found = np.zeros(bits // 8, dtype=np.uint8)
     for row in parts.collect():
-        some = np.unpackbits(np.frombuffer(bytes(row["bits"]), dtype=np.uint8), bitorder="little")
-        found[row["block"] * _BLOCK : (row["block"] + 1) * _BLOCK] = some
+        at = row["block"] * _BLOCK // 8
+        some = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)[: len(found) - at]
+        found[at : at + len(some)] = some
     return found
 
 
 def in_bitmap(found: np.ndarray, values: np.ndarray) -> np.ndarray:
-    return found[np.mod(values, len(found))]
+    slot = np.mod(values, 8 * len(found))
+    return (found[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool)

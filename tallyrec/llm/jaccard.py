@@ -1,7 +1,7 @@
 """Jaccard join of word-shingle sets, size-aware: heavy and light sets go different ways.
 
 Two sets link when ``100 * |x & y| >= percent * |x | y|``. All shingles have one global
-order, rare ones first (by the counters of a fixed number of slots, then by hash). With
+order, rare ones first (by the document counts of the most frequent ones, then by hash). With
 ``o = ceil(percent * n / 100)``, sets that link share a shingle among their first
 ``n - o + 1``, and two among their first ``n - o + 2``.
 
@@ -14,8 +14,8 @@ order, rare ones first (by the counters of a fixed number of slots, then by hash
 
 Sets that are equal are one class and meet as one. Within a list every member is first
 compared with one pivot; only members that this leaves in other components than the
-pivot are compared with the rest of their list (both filtered by size and by position
-in the order), so a large group of near copies costs its size, not its square, and no
+pivot are compared with the rest of their list (both filtered by size, by position
+in the order and by the differing bits of two parity bitmaps), so a large group of near copies costs its size, not its square, and no
 link between components is lost. ``all_links=True`` compares every pair instead and
 returns each link between classes.
 
@@ -28,7 +28,7 @@ each; an empty table gives an empty table; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import keep_rows, map_arrow, text_groups
+from tallyrec.llm.batches import arrow_rows, keep_rows, map_arrow, text_groups
 from tallyrec.llm.bitmaps import bitmap, in_bitmap
 from tallyrec.llm.graph import components
 from tallyrec.llm.shingles import mix, shingle_set
@@ -44,86 +44,200 @@ from tallyrec.sources.stage import materialise
 
 WORDS = 5
 PERCENT = 80
-#: Counters of the rarity order, and bits of the two filters: 4, 8 and 1 MB.
-SLOT_BITS = 20
+#: Shingles whose frequency every task knows (the most frequent ones; 12 MB at most).
+FREQUENT = 1 << 20
+#: Bits of the two filters: 8 and 1 MB.
 LIST_BITS = 1 << 26
 DOC_BITS = 1 << 23
-_BLOCK_BITS = 14
-#: Cost of a candidate pair against that of a signature row.
+#: Bits of a shingle's hash in the count of shared shingles, and hashes sorted at once.
+HASH_KEY = 40
+FLUSH = 1 << 22
+#: Words of 64 bits in a set's parity bitmap, and their columns.
+PARITY = [f"b{k}" for k in range(8)]
+#: Bits of a signature by which shared lists are looked for; later steps use all 64.
+LIST_KEY = 38
+#: Pairs of whole sets handed to Python at once.
+SETS_AT_ONCE = 256
+#: Cost of a comparison against that of a signature row. An entry of a list that others
+#: share is compared once, with the pivot of its list.
 PAIR_COST = 2.0
 _LIST = np.uint64(0xA24BAED4963EE407)
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def _range_bits(spark: SparkSession) -> int:
+    return max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
 
 
-def slot_counts(df: DataFrame, id_column: str, text_column: str, words: int) -> np.ndarray:
-    """How many shingles of all documents fall in each slot; the size is fixed."""
-    size, block = 1 << SLOT_BITS, 1 << _BLOCK_BITS
-    schema = "block int, counts binary"
+def _level(counts: np.ndarray) -> np.ndarray:
+    """Counts on a scale of a few hundred steps."""
+    return (16 * np.log2(counts)).astype(np.int64)
 
-    def rows(counts: dict[int, np.ndarray]) -> pa.RecordBatch:
+
+def shared_shingles(df: DataFrame, id_column: str, text_column: str, words: int) -> DataFrame:
+    """Shingles (hashes cut to ``HASH_KEY`` bits) of more than one document, with counts.
+
+    Tasks sort their hashes and send each range of them as one row of differences, which
+    takes about three bytes a shingle; one row per range comes out.
+    """
+    bits = _range_bits(df.sparkSession)
+    size = np.uint64(HASH_KEY - bits)
+    cut = np.uint64(64 - HASH_KEY)
+
+    def packed(hashes: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(hashes), return_counts=True)
+        starts = np.searchsorted(values, np.arange(1 << bits, dtype=np.uint64) << size)
+        rows = []
+        for r, (low, high) in enumerate(zip(starts, [*starts[1:], len(values)], strict=True)):
+            if low < high:
+                steps = np.diff(values[low:high], prepend=np.uint64(r) << size)
+                kind = "<u4" if steps.max() < 1 << 32 else "<u8"
+                again = np.flatnonzero(counts[low:high] > 1)
+                more = np.stack([again, counts[low:high][again]]).astype("<u4").tobytes()
+                rows.append((r, steps.astype(kind).tobytes(), kind == "<u8", more))
+        kinds = (pa.int32(), pa.binary(), pa.bool_(), pa.binary())
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(list(counts), pa.int32()),
-                pa.array([c.astype("<i8").tobytes() for c in counts.values()], pa.binary()),
-            ],
-            ["block", "counts"],
+            [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+            ["range", "steps", "wide", "more"],
         )
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(size, dtype=np.int64)
+    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, n = [], 0
         for batch in batches:
             for _, texts in text_groups(batch, 1):
-                sets = [shingle_set(t, words) for t in texts]
-                counts += np.bincount(_slots(np.concatenate(sets)), minlength=size)
-        if counts.any():
-            yield rows({k: counts[k * block : (k + 1) * block] for k in range(size // block)})
+                for text in texts:
+                    hashes.append(shingle_set(text, words) >> cut)
+                    n += len(hashes[-1])
+                if n >= FLUSH:
+                    yield packed(hashes)
+                    hashes, n = [], 0
+        if n:
+            yield packed(hashes)
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        found: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for batch in batches:
+            for r, steps, wide, more in zip(*batch.columns, strict=True):
+                r = r.as_py()
+                steps = np.frombuffer(steps.as_py(), "<u8" if wide.as_py() else "<u4").astype(np.uint64)
+                counts = np.ones(len(steps), dtype=np.uint32)
+                at, n = np.frombuffer(more.as_py(), "<u4").reshape(2, -1)
+                counts[at] = n
+                found.setdefault(r, []).append(((np.uint64(r) << size) + np.cumsum(steps), counts))
+        for r in list(found):
+            parts = found.pop(r)
+            values = np.concatenate([v for v, _ in parts])
+            counts = np.concatenate([c for _, c in parts])
+            order = np.argsort(values)
+            values, counts = values[order], counts[order]
+            first = np.flatnonzero(np.diff(values, prepend=~values[:1]))
+            total = np.add.reduceat(counts.astype(np.int64), first)
+            keep = total > 1
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([values[first][keep].astype("<u8").tobytes()], pa.binary()),
+                    pa.array([np.minimum(total[keep], (1 << 30) - 1).astype("<u4").tobytes()], pa.binary()),
+                ],
+                ["hashes", "counts"],
+            )
+
+    rows = map_arrow(
+        df, [id_column, text_column], emit, "range int, steps binary, wide boolean, more binary"
+    )
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions, "range").mapInArrow(add, "hashes binary, counts binary")
+
+
+def most_frequent(shared: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and counts of the most frequent shingles, at most ``most`` of them.
+
+    A histogram of counts (a few hundred rows) says from which count on they are so few.
+    """
+
+    def levels(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for counts in batch.column(1):
+                level, n = np.unique(_level(np.frombuffer(counts.as_py(), "<u4")), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(level), pa.array(n)], ["level", "n"])
+
+    rows = shared.mapInArrow(levels, "level bigint, n bigint").groupBy("level").agg(F.sum("n").alias("n"))
+    least, total = 1 << 62, 0
+    for level, n in sorted(((r["level"], r["n"]) for r in rows.collect()), reverse=True):
+        total += n
+        if total > most:
+            break
+        least = level
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                sums[k] = sums.get(k, 0) + np.frombuffer(part.as_py(), dtype="<i8")
-        if sums:
-            yield rows(sums)
+            for hashes, counts in zip(*batch.columns, strict=True):
+                hashes = np.frombuffer(hashes.as_py(), "<u8")
+                counts = np.frombuffer(counts.as_py(), "<u4")
+                keep = _level(counts) >= least
+                if keep.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([hashes[keep].tobytes()], pa.binary()),
+                            pa.array([counts[keep].tobytes()], pa.binary()),
+                        ],
+                        ["hashes", "counts"],
+                    )
 
-    parts = map_arrow(df, [id_column, text_column], count, schema)
-    total = np.zeros(size, dtype=np.int64)
-    for row in parts.repartition(size // block, "block").mapInArrow(add, schema).collect():
-        at = row["block"] * block
-        total[at : at + block] = np.frombuffer(bytes(row["counts"]), dtype="<i8")
-    return np.minimum(total, (1 << 24) - 1).astype(np.uint32)
+    found = shared.mapInArrow(choose, "hashes binary, counts binary").collect()
+    hashes = np.frombuffer(b"".join(bytes(r["hashes"]) for r in found), "<u8")
+    counts = np.frombuffer(b"".join(bytes(r["counts"]) for r in found), "<u4")
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
 
 
 def _least(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """Whether an even or odd number of hashes falls on each bit: 64 bytes.
+
+    The bitmaps of two sets differ in no more bits than the sets differ in elements.
+    """
+    bits = np.bincount((hashes & np.uint64(64 * len(PARITY) - 1)).astype(np.int64), minlength=64 * len(PARITY))
+    return np.packbits((bits & 1).astype(np.uint8)).tobytes()
+
+
 def set_rows(
-    df: DataFrame, id_column: str, text_column: str, counts: np.ndarray, percent: int, words: int
+    df: DataFrame,
+    id_column: str,
+    text_column: str,
+    frequent: tuple[np.ndarray, np.ndarray],
+    percent: int,
+    words: int,
 ) -> DataFrame:
     """Per document: size, fingerprint, ordered prefix, and estimated costs of both ways."""
-    shared = df.sparkSession.sparkContext.broadcast(counts)
-    usual = float(counts.mean())
+    shared = df.sparkSession.sparkContext.broadcast(frequent)
+    cut = np.uint64(64 - HASH_KEY)
+
+    def frequency(hashes: np.ndarray) -> np.ndarray:
+        known, counts = shared.value
+        if not len(known) or not len(hashes):
+            return np.ones(len(hashes), dtype=np.uint64)
+        short = hashes >> cut
+        at = np.minimum(np.searchsorted(known, short), len(known) - 1)
+        return np.where(known[at] == short, counts[at], 1).astype(np.uint64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        load = shared.value
         for batch in batches:
             for start, texts in text_groups(batch, 1):
-                sizes, prints, heads, scans, subsets = [], [], [], [], []
+                sizes, prints, heads, scans, subsets, maps = [], [], [], [], [], []
                 for text in texts:
                     hashes = shingle_set(text, words)
                     n = len(hashes)
-                    of = load[_slots(hashes)]
+                    of = frequency(hashes)
                     first = n - _least(n, percent) + 2
-                    key = of.astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24)
+                    key = np.minimum(of, np.uint64((1 << 24) - 1)) << np.uint64(40) | hashes >> np.uint64(24)
                     order = np.argsort(key, kind="stable")[: min(first, n)]
                     sizes.append(n)
+                    maps.append(parity(hashes))
                     prints.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
                     heads.append(hashes[order].view(np.int64))
-                    scans.append(float(np.maximum(of[order[: first - 1]] - usual, 1).sum()))
+                    scans.append(float((of[order[: first - 1]] > 1).sum()))
                     subsets.append(first * (first - 1) // 2)
                 ends = np.cumsum([0, *(len(h) for h in heads)])
                 flat = np.concatenate(heads) if heads else np.empty(0, np.int64)
@@ -135,15 +249,17 @@ def set_rows(
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                         pa.array(scans, pa.float64()),
                         pa.array(subsets, pa.int64()),
+                        pa.array(maps, pa.binary()),
                     ],
-                    ["doc_id", "n", "print", "head", "scan", "subsets"],
+                    ["doc_id", "n", "print", "head", "scan", "subsets", "parity"],
                 )
 
     return map_arrow(
         df,
         [id_column, text_column],
         run,
-        "doc_id bigint, n bigint, print binary, head array<bigint>, scan double, subsets bigint",
+        "doc_id bigint, n bigint, print binary, head array<bigint>, scan double, subsets bigint, "
+        "parity binary",
     )
 
 
@@ -202,52 +318,87 @@ def _signatures(
     return tuple(np.concatenate(x) for x in (docs, values, places, kinds))  # type: ignore[return-value]
 
 
-def _each_signature(sets: DataFrame, boundary: int, percent: int, only: np.ndarray | None) -> DataFrame:
-    """Rows of all signatures, or in full those that the bitmap ``only`` lets through."""
-    shared = None if only is None else sets.sparkSession.sparkContext.broadcast(np.packbits(only))
+def _numbered_signatures(part: pa.RecordBatch, boundary: int, percent: int) -> tuple[np.ndarray, ...]:
+    n = part.column(1).to_numpy(zero_copy_only=False)
+    head = part.column(3)
+    ends = head.offsets.to_numpy().astype(np.int64)
+    return _signatures(n, ends, head.values.to_numpy(zero_copy_only=False), boundary, percent)
+
+
+def shared_lists(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """(list): signatures, cut to ``LIST_KEY`` bits, that more than one class has.
+
+    A row is one integer: the cut signature and a hash of class and signature. Of equal
+    signatures a group of documents sends two at most, so no list is ever hot here.
+    """
+    low = np.uint64(64 - LIST_KEY)
+
+    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                doc, value, _, _ = _numbered_signatures(part, boundary, percent)
+                prints = np.frombuffer(b"".join(p.as_py()[:8] for p in part.column(2)), dtype="<u8")
+                of_class = mix(prints[doc] ^ mix(value)) >> np.uint64(LIST_KEY)
+                rows = np.unique(value >> low << low | of_class)
+                lists = rows >> low
+                edge = np.flatnonzero(np.diff(lists, prepend=~lists[:1], append=~lists[-1:]))
+                ends = np.unique(np.concatenate([edge[:-1], edge[1:] - 1]))
+                yield pa.RecordBatch.from_arrays([pa.array(rows[ends].view(np.int64))], ["row"])
+
+    def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches]
+        if parts:
+            lists = np.unique(np.concatenate(parts)) >> low
+            again = np.unique(lists[1:][lists[1:] == lists[:-1]])
+            yield pa.RecordBatch.from_arrays([pa.array(again.astype(np.int64))], ["list"])
+
+    rows = map_arrow(sets, ["doc_id", "n", "print", "head"], emit, "row bigint")
+    partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(partitions, F.shiftrightunsigned("row", 64 - LIST_KEY))
+    return dealt.mapInArrow(pick, "list bigint")
+
+
+def _entries(sets: DataFrame, boundary: int, percent: int, only: np.ndarray) -> DataFrame:
+    """Signature rows whose list the bitmap ``only`` lets through."""
+    shared = sets.sparkSession.sparkContext.broadcast(only)
+    low = np.uint64(64 - LIST_KEY)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = None if shared is None else np.unpackbits(shared.value).view(bool)
+        found = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                n = part.column(1).to_numpy(zero_copy_only=False)
-                head = part.column(3)
-                ends = head.offsets.to_numpy().astype(np.int64)
-                flat = head.values.to_numpy(zero_copy_only=False)
-                doc, value, place, light = _signatures(n, ends, flat, boundary, percent)
-                value = value.view(np.int64)
-                if found is None:
-                    prints = np.frombuffer(b"".join(p.as_py()[:8] for p in part.column(2)), dtype="<i8")
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(value), pa.array(prints[doc])], ["sig", "print"]
-                    )
-                    continue
-                keep = in_bitmap(found, value)
+                doc, value, place, light = _numbered_signatures(part, boundary, percent)
+                lists = (value >> low).astype(np.int64)
+                keep = in_bitmap(found, lists)
+                maps = np.frombuffer(b"".join(part.column(4).to_pylist()), "<i8").reshape(-1, len(PARITY))
+                maps = maps[doc[keep]]
                 doc = pa.array(doc[keep])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(value[keep]),
+                        pa.array(lists[keep]),
+                        pa.array(value[keep].view(np.int64)),
                         part.column(2).take(doc),
                         part.column(1).take(doc),
                         pa.array(place[keep].astype(np.int64)),
                         pa.array(light[keep]),
+                        *(pa.array(np.ascontiguousarray(c)) for c in maps.T),
                     ],
-                    ["sig", "print", "n", "place", "light"],
+                    ["list", "sig", "print", "n", "place", "light", *PARITY],
                 )
 
-    schema = "sig bigint, print bigint"
-    if only is not None:
-        schema = "sig bigint, print binary, n bigint, place bigint, light boolean"
-    return map_arrow(sets, ["doc_id", "n", "print", "head"], run, schema)
+    schema = "list bigint, sig bigint, print binary, n bigint, place bigint, light boolean"
+    schema += "".join(f", {c} bigint" for c in PARITY)
+    return map_arrow(sets, ["doc_id", "n", "print", "head", "parity"], run, schema)
 
 
 def _full_sets(df: DataFrame, id_column: str, text_column: str, wanted: np.ndarray, words: int) -> DataFrame:
     """All shingles of the documents that ``wanted`` lets through, recomputed from the text."""
-    shared = df.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    shared = df.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = np.unpackbits(shared.value).view(bool)
+        found = shared.value
         for batch in batches:
             batch = batch.filter(batch.column(0).is_valid())
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -293,7 +444,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.withColumnsRenamed({"doc_id": "a", "hashes": "x"})
     two = sets.withColumnsRenamed({"doc_id": "b", "hashes": "y"})
     joined = pairs.join(one, "a").join(two, "b")
-    return map_arrow(joined, ["a", "b", "x", "y"], run, "a bigint, b bigint, overlap bigint")
+    schema = "a bigint, b bigint, overlap bigint"
+    with arrow_rows(pairs.sparkSession, SETS_AT_ONCE):
+        return materialise(map_arrow(joined, ["a", "b", "x", "y"], run, schema), "jaccard-links")
 
 
 @dataclass(frozen=True)
@@ -320,7 +473,7 @@ class JaccardJoin:
 
 
 def _pairs(s: DataFrame, o: DataFrame, boundary: int, percent: int, more: str) -> DataFrame:
-    """Candidate pairs of two sides of the same lists, by size and position filters."""
+    """Candidate pairs of two sides of the same lists, by size, position and parity filters."""
     left = s.select("sig", *(F.col(c).alias(f"s_{c}") for c in s.columns if c != "sig"))
     right = o.select("sig", *(F.col(c).alias(f"o_{c}") for c in o.columns if c != "sig"))
     size = f"100 * least(s_n, o_n) >= {percent} * greatest(s_n, o_n)"
@@ -330,7 +483,11 @@ def _pairs(s: DataFrame, o: DataFrame, boundary: int, percent: int, more: str) -
         f" >= {percent} * (s_n + o_n)"
     )
     kind = f"(s_light or greatest(s_n, o_n) > {boundary})"
-    found = left.join(right, "sig").where(f"s_doc <> o_doc and {size} and {place} and {kind} and {more}")
+    apart = " + ".join(f"bit_count(s_{c} ^ o_{c})" for c in PARITY)
+    differ = f"{100 + percent} * ({apart}) <= {100 - percent} * (s_n + o_n)"
+    found = left.join(right, "sig").where(
+        f"s_doc <> o_doc and {size} and {place} and {kind} and {more} and {differ}"
+    )
     return found.select(
         F.least("s_doc", "o_doc").alias("a"), F.greatest("s_doc", "o_doc").alias("b")
     ).distinct()
@@ -345,42 +502,38 @@ def jaccard_join(
     all_links: bool = False,
 ) -> JaccardJoin:
     spark: SparkSession = df.sparkSession
-    counts = slot_counts(df, id_column, text_column, words)
-    sets = materialise(set_rows(df, id_column, text_column, counts, percent, words), "jaccard-sets")
+    shared = materialise(shared_shingles(df, id_column, text_column, words), "jaccard-shared")
+    frequent = most_frequent(shared, FREQUENT)
+    sets = materialise(set_rows(df, id_column, text_column, frequent, percent, words), "jaccard-sets")
     boundary = light_boundary(sets, percent)
 
-    # lists that more than one class is in
-    sigs = _each_signature(sets, boundary, percent, None)
-    alive = materialise(
-        sigs.groupBy("sig")
-        .agg(F.min("print").alias("low"), F.max("print").alias("high"))
-        .where("low < high")
-        .select("sig"),
-        "jaccard-lists",
-    )
+    alive = materialise(shared_lists(sets, boundary, percent), "jaccard-lists")
     classes = materialise(
         sets.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc")), "jaccard-classes"
     )
     rows = (
-        _each_signature(sets, boundary, percent, bitmap(alive, "sig", LIST_BITS))
+        _entries(sets, boundary, percent, bitmap(alive, "list", LIST_BITS))
+        .join(alive, "list", "left_semi")
         .distinct()
-        .join(alive, "sig", "left_semi")
         .join(classes, "print")
         .where("doc is not null")
-        .select("sig", "doc", "n", "place", "light")
+        .select("sig", "doc", "n", "place", "light", *PARITY)
     )
     rows = materialise(rows, "jaccard-entries")
 
-    wanted = bitmap(rows, "doc", DOC_BITS)
-    full = materialise(
-        _full_sets(df, id_column, text_column, wanted, words).dropDuplicates(["doc_id"]), "jaccard-full"
-    )
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The given pairs that link, by the whole sets of the documents in them."""
+        docs = pairs.select(F.explode(F.array("a", "b")).alias("doc"))
+        found = _full_sets(df, id_column, text_column, bitmap(docs, "doc", DOC_BITS), words)
+        found = materialise(found.dropDuplicates(["doc_id"]), "jaccard-full")
+        return _linked(pairs, found, percent)
+
     if all_links:
-        pairs = _pairs(rows, rows, boundary, percent, "s_doc < o_doc")
-        links = materialise(_linked(pairs, full, percent), "jaccard-links")
+        pairs = materialise(_pairs(rows, rows, boundary, percent, "s_doc < o_doc"), "jaccard-pairs")
+        links = linked(pairs)
         roots = components(links)
     else:
-        links, roots = _spanning_links(rows, full, boundary, percent)
+        links, roots = _spanning_links(rows, linked, boundary, percent)
     members = sets.select("doc_id", F.col("n").alias("n_shingles"), "print").join(classes, "print", "left")
     members = members.select(
         "doc_id",
@@ -393,28 +546,32 @@ def jaccard_join(
 
 
 def _spanning_links(
-    rows: DataFrame, full: DataFrame, boundary: int, percent: int
+    rows: DataFrame, linked: Callable[[DataFrame], DataFrame], boundary: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
     """Links that connect all that linked pairs connect, and the components they make."""
-    pivots = rows.groupBy("sig").agg(F.min(F.struct("n", "doc", "place", "light")).alias("p"))
+    # another pivot in every list, so that the lists of a document lead to different ones
+    pick = F.xxhash64("doc", "sig").alias("pick")
+    pivots = rows.groupBy("sig").agg(
+        F.min(F.struct(pick, "doc", "n", "place", "light", *PARITY)).alias("p")
+    )
     pivots = materialise(
-        pivots.select("sig", "p.doc", "p.n", "p.place", "p.light"), "jaccard-pivots"
+        pivots.select("sig", *(f"p.{c}" for c in ("doc", "n", "place", "light", *PARITY))), "jaccard-pivots"
     )
     star = materialise(_pairs(pivots, rows, boundary, percent, "true"), "jaccard-star")
-    links = materialise(_linked(star, full, percent), "jaccard-links")
+    links = linked(star)
     roots = components(links)
 
     # members of a list that are not where its pivot is
     rooted = (
         rows.join(roots.withColumnRenamed("v", "doc"), "doc", "left")
         .withColumn("root", F.coalesce("root", "doc"))
-        .select("sig", "doc", "n", "place", "light", "root")
+        .select("sig", "doc", "n", "place", "light", "root", *PARITY)
     )
     rooted = materialise(rooted, "jaccard-rooted")
     split = rooted.groupBy("sig").agg(
         F.min("root").alias("low"),
         F.max("root").alias("high"),
-        F.min(F.struct("n", "doc", "root")).alias("p"),
+        F.min(F.struct(pick, "doc", "root")).alias("p"),
     )
     split = materialise(
         split.where("low < high").select(
@@ -430,7 +587,7 @@ def _spanning_links(
         away, rest, boundary, percent, "s_root <> o_root and (not o_away or s_doc < o_doc)"
     )
     pairs = materialise(pairs.join(star, ["a", "b"], "left_anti"), "jaccard-rest")
-    more = materialise(_linked(pairs, full, percent), "jaccard-links")
+    more = linked(pairs)
 
     # the new links join components
     a = roots.select(F.col("v").alias("a"), F.col("root").alias("ra"))
@@ -464,14 +621,13 @@ def one_of_each(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     twice = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1")
     gone = materialise(gone.distinct(), "jaccard-gone")
     shared = df.sparkSession.sparkContext.broadcast(
-        np.packbits(bitmap(gone.union(twice.select("doc_id")), "doc_id", DOC_BITS))
+        bitmap(gone.union(twice.select("doc_id")), "doc_id", DOC_BITS)
     )
 
     def in_question(ids: list[int | None]) -> np.ndarray:
-        bits = np.unpackbits(shared.value).view(bool)
         known = np.array([i is not None for i in ids], dtype=bool)
         values = np.array([0 if i is None else i for i in ids], dtype=np.int64)
-        return in_bitmap(bits, values) & known
+        return in_bitmap(shared.value, values) & known
 
     clear = keep_rows(df, id_column, lambda ids: (~in_question(ids)).tolist())
     doubtful = keep_rows(df, id_column, lambda ids: in_question(ids).tolist())
