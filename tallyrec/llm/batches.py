@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
@@ -31,6 +32,14 @@ def text_groups(
         yield start, texts
 
 
+def give_back_memory() -> None:
+    """Returns what a finished task has freed to the system; workers live on and would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_arrow(
     df: DataFrame,
     columns: list[str],
@@ -38,7 +47,12 @@ def map_arrow(
     schema: T.StructType | str,
 ) -> DataFrame:
     """``function`` over the batches of just ``columns``; names never clash with others."""
-    return df.select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(function, schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        give_back_memory()
+
+    return df.select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(run, schema)
 
 
 def keep_rows(
@@ -56,6 +70,7 @@ def keep_rows(
             else:
                 kept = list(decide(batch.column(at).to_pylist()))
             yield batch.filter(pa.array(kept, pa.bool_()))
+        give_back_memory()
 
     return df.mapInArrow(run, df.schema)
 

@@ -51,7 +51,9 @@ LIST_BITS = 1 << 26
 DOC_BITS = 1 << 23
 #: Bits of a shingle's hash in the count of shared shingles, and hashes sorted at once.
 HASH_KEY = 40
-FLUSH = 1 << 22
+FLUSH = 1 << 20
+#: Rows of documents handed to Python at once.
+DOCS_AT_ONCE = 2000
 #: Words of 64 bits in a set's parity bitmap, and their columns.
 PARITY = [f"b{k}" for k in range(8)]
 #: Bits of a signature by which shared lists are looked for; later steps use all 64.
@@ -65,7 +67,8 @@ _LIST = np.uint64(0xA24BAED4963EE407)
 
 
 def _range_bits(spark: SparkSession) -> int:
-    return max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    """A few ranges per partition, so that one at a time is small."""
+    return (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() + 2
 
 
 def _level(counts: np.ndarray) -> np.ndarray:
@@ -501,7 +504,13 @@ def jaccard_join(
     words: int = WORDS,
     all_links: bool = False,
 ) -> JaccardJoin:
-    spark: SparkSession = df.sparkSession
+    with arrow_rows(df.sparkSession, DOCS_AT_ONCE):
+        return _jaccard_join(df, id_column, text_column, percent, words, all_links)
+
+
+def _jaccard_join(
+    df: DataFrame, id_column: str, text_column: str, percent: int, words: int, all_links: bool
+) -> JaccardJoin:
     shared = materialise(shared_shingles(df, id_column, text_column, words), "jaccard-shared")
     frequent = most_frequent(shared, FREQUENT)
     sets = materialise(set_rows(df, id_column, text_column, frequent, percent, words), "jaccard-sets")

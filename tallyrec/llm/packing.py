@@ -27,13 +27,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import map_arrow, text_groups
+from tallyrec.llm.batches import arrow_rows, map_arrow, text_groups
 from tallyrec.llm.word_ids import word_ids
 from tallyrec.sources.stage import materialise
 
 SLOTS = 256
 DIMENSIONS = 4
 BITS = 10
+#: Rows of documents handed to Python at once.
+DOCS_AT_ONCE = 2000
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -164,7 +166,8 @@ def pack(
     df: DataFrame, id_column: str, text_column: str, path: str, end_id: int, length: int = 4096
 ) -> DataFrame:
     """Pieces of documents with their sequence and place in it, and the piece's ids."""
-    documents = materialise(tokenised(df, id_column, text_column, path, end_id), "pack-ids")
+    with arrow_rows(df.sparkSession, DOCS_AT_ONCE):
+        documents = materialise(tokenised(df, id_column, text_column, path, end_id), "pack-ids")
     placed = running_start(
         documents.select("place", "doc_id", "row", "n"), ["place", "doc_id", "row"], "n", "pack-order"
     )
