@@ -5,10 +5,13 @@ into lines; a line has its text and the number of tags met in it. Ratios of text
 tags are smoothed along the page with a Gaussian, and lines above a threshold set by the
 spread of the ratios form the content cluster. Elements that are never part of an
 article (menus, headers, footers, asides, forms, scripts, styles, adverts, notices,
-reader comments, hidden parts) carry no content lines. The regions selected are the
-articles (or main elements) that hold cluster lines; in a page without such elements,
-the container with most text of the cluster and lines elsewhere that stand out by themselves. Within a
-region every line stays, however short.
+reader comments, hidden parts) carry no content lines. The cluster's text decides on the
+region: the heaviest article or main element is weighed against the heaviest container
+of the text outside of such elements. Unless the container leads by more than ``BONUS``
+characters, the region is all articles and main elements that hold cluster lines. If it
+leads, the region is the container, the articles too if they weigh as much together, and
+lines elsewhere that stand out by themselves. Within a region every line stays, however
+short.
 
 Defined results: a null, empty or blank page has empty text; a page where no line stands
 out gives all lines outside excluded elements; repeated rows are kept; an empty table
@@ -36,6 +39,9 @@ SIGMA = 1.0
 RADIUS = 2
 #: Lines above this share of the ratios' standard deviation are content.
 THRESHOLD = 0.5
+#: Characters of cluster text by which a container must outweigh article and main
+#: elements: less than this is no paragraph.
+BONUS = 32
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCKS = frozenset(
@@ -92,6 +98,9 @@ class PageLines(HTMLParser):
         HTMLParser.__init__(self, convert_charrefs=True)
         self.open = [_Open("", False, 0, 0)]
         self.parents = {0: 0}
+        self.regions: set[int] = set()
+        #: containers that are the whole page
+        self.whole = {0}
         self.pieces: list[str] = []
         self.tags = 0
         self.numbered = 0
@@ -144,6 +153,9 @@ class PageLines(HTMLParser):
             container = self.numbered
             if tag in REGIONS:
                 region = self.numbered
+                self.regions.add(region)
+            elif tag in ("body", "html"):
+                self.whole.add(container)
         excluded = top.excluded or self._is_excluded(tag, attrs, top.region)
         self.open.append(_Open(tag, excluded, region, container))
 
@@ -202,39 +214,57 @@ def content_lines(page: PageLines) -> list[str]:
     smooth = smoothed(ratios)
     cluster = smooth > THRESHOLD * smooth.std()
     regions = {x.region for x in lines if x.region and not x.excluded}
-    held = {x.region for x, c in zip(lines, cluster, strict=True) if c and x.region and not x.excluded}
-    chosen = held or regions
-    if chosen:
-        # an article inside a chosen one belongs to it
-        def inside(x: Line) -> bool:
-            at = x.region
-            while at:
-                if at in chosen:
-                    return True
-                at = page.parents[at]
-            return False
-
-        return [x.text for x in lines if not x.excluded and inside(x)]
-    mass: dict[int, int] = {}
-    for x, c in zip(lines, cluster, strict=True):
-        if c and not x.excluded:
-            mass[x.container] = mass.get(x.container, 0) + len(x.text)
-    if not mass:
+    found = [x for x, c in zip(lines, cluster, strict=True) if c and not x.excluded]
+    held = {x.region for x in found if x.region}
+    inside = _masses(page, [x for x in found if x.region])
+    main, weight = _heaviest_container(page, [x for x in found if not x.region])
+    if regions and weight <= max((inside[r] for r in page.regions), default=0) + BONUS:
+        under = _under(page, held or regions)
+        return [x.text for x in lines if not x.excluded and under[x.container]]
+    if not found:
         return [x.text for x in lines if not x.excluded]
-    main = max(mass, key=lambda k: (mass[k], -k))
-
-    def under(at: int) -> bool:
-        while at and at != main:
-            at = page.parents[at]
-        return at == main
-
+    under = _under(page, {main} | (held if inside[0] >= weight else set()))
     # elsewhere a line must stand out by itself: smoothing reaches over the region's edge
     strong = cluster & (ratios > THRESHOLD * smooth.std())
     return [
-        x.text for x, c in zip(lines, strong, strict=True) if not x.excluded and (c or under(x.container))
+        x.text for x, c in zip(lines, strong, strict=True) if not x.excluded and (c or under[x.container])
     ]
 
 
+def _masses(page: PageLines, found: list[Line]) -> list[int]:
+    """Text of the lines in each container and all that is inside it."""
+    mass = [0] * (page.numbered + 1)
+    for x in found:
+        mass[x.container] += len(x.text)
+    for at in range(page.numbered, 0, -1):  # a container's number is above its parent's
+        mass[page.parents[at]] += mass[at]
+    return mass
+
+
+def _heaviest_container(page: PageLines, found: list[Line]) -> tuple[int, int]:
+    """The innermost container of more than half of the text, and its text.
+
+    If only the whole page has that much: the container with most text of its own.
+    """
+    mass = _masses(page, found)
+    at = max(k for k in range(len(mass)) if 2 * mass[k] > mass[0] or k == 0)
+    if at in page.whole:
+        own: dict[int, int] = {}
+        for x in found:
+            own[x.container] = own.get(x.container, 0) + len(x.text)
+        at = max(own, key=lambda k: (own[k], -k), default=0)
+        return at, own.get(at, 0)
+    return at, mass[at]
+
+
+def _under(page: PageLines, chosen: set[int]) -> list[bool]:
+    """Per container: whether it is a chosen one or inside one."""
+    under = [0 in chosen]
+    for at in range(1, page.numbered + 1):
+        under.append(at in chosen or under[page.parents[at]])
+    return under
+
+
 def main_text(html: str | None) -> str:
     return "\n".join(content_lines(page_lines(html))) if html else ""
 

@@ -37,6 +37,31 @@ def test_page_without_article():
     assert main_text(html) == "A long text stands here and goes on for quite a while.\nShort."
 
 
+LONG = "This paragraph of the main text is long and goes on for quite a while, with hardly a tag in it."
+CARD = "<article><a href=/x>A card</a> <b>read</b> it</article>"
+
+
+@pytest.mark.parametrize("before", [True, False])
+def test_a_small_article_does_not_hide_the_text_around_it(before):
+    body = f"<div id=content><h1>Head</h1><div><p>{LONG}</p></div><div><p>{LONG}</p></div><div><p>Short.</p></div></div>"
+    text = main_text(f"<body>{CARD}{body}</body>" if before else f"<body>{body}{CARD}</body>")
+    lines = text.split("\n")
+    assert [x for x in lines if "card" not in x] == ["Head", LONG, LONG, "Short."]
+
+
+def test_no_single_card_outweighs_the_text():
+    cards = f"<article><p>{LONG}</p><p>More</p></article>" * 8
+    text = main_text(f"<body><div id=content><p>{LONG * 3}</p><p>End.</p></div>{cards}</body>").split("\n")
+    # the cards weigh more together, so both stay
+    assert text == [LONG * 3, "End."] + [LONG, "More"] * 8
+
+
+def test_the_heavier_article_wins_over_text_outside():
+    assert main_text(f"<article><h1>Head</h1><p>{LONG}</p><p>{LONG}</p></article><div><p>{LONG}</p></div>") == (
+        f"Head\n{LONG}\n{LONG}"
+    )
+
+
 def test_chunks_do_not_matter(monkeypatch):
     whole = [x.text for x in page_lines(PAGE * 3).lines]
     monkeypatch.setattr("tallyrec.llm.html_text.CHUNK", 1)
