@@ -5,7 +5,10 @@ into lines; a line has its text and the number of tags met in it. Ratios of text
 tags are smoothed along the page with a Gaussian, and lines above a threshold set by the
 spread of the ratios form the content cluster. Elements that are never part of an
 article (menus, headers, footers, asides, forms, scripts, styles, adverts, notices,
-reader comments, hidden parts) carry no content lines. The cluster's text decides on the
+reader comments, hidden parts) carry no content lines. Class, id and role mark them too:
+inside an article by a whole class, id or role or a known compound, elsewhere by one word
+of it as well; headings are not marked by an id. A mark that does not name its element for
+sure is void if the element holds long lines of the cluster. The cluster's text decides on the
 region: the heaviest article or main element is weighed against the heaviest container
 of the text outside of such elements. Unless the container leads by more than ``BONUS``
 characters, the region is all articles and main elements that hold cluster lines. If it
@@ -63,6 +66,25 @@ MARKS = frozenset(
     "social related recommended newsletter subscribe subscription popup modal overlay login search "
     "contentinfo complementary pagination".split()
 )
+#: Marks that say for sure what an element is; the others are void in front of long cluster lines.
+FIRM = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies "
+    "consent gdpr nav navbar navigation breadcrumb breadcrumbs comment comments disqus respond replies "
+    "newsletter subscribe subscription popup modal overlay login contentinfo complementary pagination".split()
+)
+#: Compound names that are marks as a whole.
+COMPOUNDS = frozenset(
+    "ad-banner ad-block ad-container ad-slot ad-unit ad-wrapper cookie-notice cookie-banner cookie-consent "
+    "cookie-bar consent-banner gdpr-notice gdpr-banner comment-list comment-form comments-area "
+    "comments-section comments-list newsletter-signup newsletter-form share-buttons sharing-buttons "
+    "social-share social-links social-media related-posts related-articles related-links main-nav site-nav "
+    "nav-menu site-header site-footer search-form login-form".split()
+)
+_SURE = FIRM | COMPOUNDS
+UNMARKED = frozenset(("body", "html", "article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Characters of a line that voids a mark: about a sentence.
+SENTENCE = 80
 _CLOSES_P = BLOCKS - {"body", "html", "head"}
 
 
@@ -74,6 +96,8 @@ class Line:
     #: number of the innermost article or main element, and of the innermost container; 0 if none
     region: int
     container: int
+    #: number of the innermost element whose mark is not sure; 0 if none
+    mark: int = 0
 
 
 @dataclass
@@ -82,12 +106,22 @@ class _Open:
     excluded: bool
     region: int
     container: int
+    mark: int = 0
 
 
 def _words(value: str | None) -> list[str]:
     return (value or "").lower().replace("-", " ").replace("_", " ").split()
 
 
+def _names(value: str | None) -> list[str]:
+    return (value or "").lower().replace("_", "-").split()
+
+
+def _marking(tag: str) -> tuple[str, ...]:
+    """Attributes by which an element can be marked."""
+    return () if tag in UNMARKED else ("class", "role") if tag in HEADINGS else ("class", "id", "role")
+
+
 @dataclass
 class PageLines(HTMLParser):
     """Lines of a page, from parser events."""
@@ -104,12 +138,14 @@ class PageLines(HTMLParser):
         self.pieces: list[str] = []
         self.tags = 0
         self.numbered = 0
+        #: outer mark of each mark that is not sure
+        self.marks = {0: 0}
 
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
         top = self.open[-1]
         if text:
-            self.lines.append(Line(text, self.tags, top.excluded, top.region, top.container))
+            self.lines.append(Line(text, self.tags, top.excluded, top.region, top.container, top.mark))
             self.tags = 0
         self.pieces = []
 
@@ -117,15 +153,21 @@ class PageLines(HTMLParser):
         if tag in EXCLUDED or (tag == "header" and not region):
             return True
         for name, value in attrs:
-            if name in ("class", "id", "role"):
-                if tag not in ("body", "html", "article", "main") and not MARKS.isdisjoint(_words(value)):
-                    return True
-            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
+            if name == "hidden" or (name == "aria-hidden" and value == "true"):
+                return True
+            if name == "style" and "display:none" in (value or "").replace(" ", "").lower():
+                return True
+            if name == "role" and not MARKS.isdisjoint(_names(value)) and tag not in UNMARKED:
                 return True
-            elif name == "style" and "display:none" in (value or "").replace(" ", "").lower():
+            if name in _marking(tag) and not _SURE.isdisjoint(_names(value)):
                 return True
         return False
 
+    def _is_marked(self, tag: str, attrs: list[tuple[str, str | None]], region: int) -> bool:
+        """Whether class, id or role may mark an excluded element: inside an article by whole names only."""
+        read = _names if region else _words
+        return any(name in _marking(tag) and not MARKS.isdisjoint(read(value)) for name, value in attrs)
+
     def _pop_to(self, at: int) -> None:
         del self.open[at:]
 
@@ -157,7 +199,11 @@ class PageLines(HTMLParser):
             elif tag in ("body", "html"):
                 self.whole.add(container)
         excluded = top.excluded or self._is_excluded(tag, attrs, top.region)
-        self.open.append(_Open(tag, excluded, region, container))
+        mark = top.mark
+        if not excluded and self._is_marked(tag, attrs, top.region):
+            mark = len(self.marks)
+            self.marks[mark] = top.mark
+        self.open.append(_Open(tag, excluded, region, container, mark))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -204,15 +250,38 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(ratios, kernel, "full")[RADIUS : RADIUS + len(ratios)] / weight
 
 
+def _cluster(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ratios of text to tags, smoothed ratios, and whether a line is in the content cluster."""
+    # an excluded line has tags but no text to speak of
+    ratios = np.array([0 if x.excluded else len(x.text) / max(1, x.tags) for x in lines])
+    smooth = smoothed(ratios)
+    return ratios, smooth, smooth > THRESHOLD * smooth.std()
+
+
+def _apply_marks(page: PageLines) -> None:
+    """Excludes the lines of marked elements, except where an element holds long cluster lines."""
+    lines = page.lines
+    if len(page.marks) == 1:
+        return
+    ratios, smooth, cluster = _cluster(lines)
+    high = cluster & (ratios > THRESHOLD * smooth.std())
+    void = {0}
+    for x, h in zip(lines, high, strict=True):
+        at = x.mark
+        while h and at not in void and not x.excluded and len(x.text) >= SENTENCE:
+            void.add(at)
+            at = page.marks[at]
+    for x in lines:
+        x.excluded = x.excluded or x.mark not in void
+
+
 def content_lines(page: PageLines) -> list[str]:
     """Text of the lines in the selected regions, in page order."""
     lines = page.lines
     if not lines:
         return []
-    # an excluded line has tags but no text to speak of
-    ratios = np.array([0 if x.excluded else len(x.text) / max(1, x.tags) for x in lines])
-    smooth = smoothed(ratios)
-    cluster = smooth > THRESHOLD * smooth.std()
+    _apply_marks(page)
+    ratios, smooth, cluster = _cluster(lines)
     regions = {x.region for x in lines if x.region and not x.excluded}
     found = [x for x, c in zip(lines, cluster, strict=True) if c and not x.excluded]
     held = {x.region for x in found if x.region}

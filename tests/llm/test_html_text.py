@@ -62,6 +62,41 @@ def test_the_heavier_article_wins_over_text_outside():
     )
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<h2 id="side-effects">Part</h2>',
+        '<h2 id="search">Part</h2>',
+        '<section id="related-work"><p>Part</p></section>',
+        '<div class="article-header"><h1>Part</h1></div>',
+        '<p class="social-policy banner_text">Part</p>',
+        f'<section class="related"><p>{LONG}</p><p>Part</p></section>',
+        f'<div class="notice"><div id="alert"><p>{LONG}</p><p>Part</p></div></div>',
+    ],
+)
+def test_slugs_and_long_text_are_no_marks(part):
+    assert "Part" in main_text(f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>").split("\n")
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<div class="related box"><p>Part</p></div>',
+        '<div id="cookie-notice"><p>Part</p></div>',
+        '<div class="share_buttons"><p>Part</p></div>',
+        '<div role="search"><p>Part</p></div>',
+        f'<div class="comments"><p>{LONG}</p><p>Part</p></div>',
+        f'<div class="ad"><p>{LONG}</p><p>Part</p></div>',
+    ],
+)
+def test_whole_names_are_marks(part):
+    assert main_text(f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
+
+
+def test_long_text_voids_a_mark_without_article():
+    assert main_text(f"<div class=no-sidebar><p>{LONG}</p><p>Part</p></div><div class=left-menu>x</div>") == f"{LONG}\nPart"
+
+
 def test_chunks_do_not_matter(monkeypatch):
     whole = [x.text for x in page_lines(PAGE * 3).lines]
     monkeypatch.setattr("tallyrec.llm.html_text.CHUNK", 1)
