@@ -14,7 +14,8 @@ A-Z. Base phrases are found as consecutive words; their places may overlap.
 Defined results: a null text is empty; without words or licences, counts are 0, first and
 last word null, labels empty and the score 0; repeated rows are kept; an empty table
 gives an empty table; other columns are not read. The score is that of the strongest
-find: 1 for a full licence text, 0.75 for a notice, 0.5 for a base phrase alone.
+find: 1 for a full licence text, 0.9 for a full licence header, 0.75 for a notice, 0.5 for
+a base phrase alone. Texts and headers are written out to their last mandatory word.
 """
 
 from __future__ import annotations
@@ -36,6 +37,14 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
+_GPL = """is free software: you can redistribute it and/or modify it under the terms of the GNU
+    <<beginOptional>>Lesser<<endOptional>> General Public License as published by the Free Software Foundation,
+    <<beginOptional>>either<<endOptional>> version <<var;1;2>> of the License<<beginOptional>>, or (at your option) any
+    later version<<endOptional>>. <<var;1;8>> is distributed in the hope that it will be useful, but WITHOUT ANY
+    WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+    <<beginOptional>>Lesser<<endOptional>> General Public License for more details. You should have received a copy of
+    the GNU <<beginOptional>>Lesser<<endOptional>> General Public License along with <<var;1;8>>. If not, """
+
 #: Published licence wordings, with optional and replaceable parts marked.
 TEMPLATES: tuple[tuple[str, str, float, str], ...] = (
     (
@@ -60,7 +69,12 @@ TEMPLATES: tuple[tuple[str, str, float, str], ...] = (
         1.0,
         """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this software
         for any purpose with or without fee is hereby granted, provided that the above copyright notice and
-        this permission notice appear in all copies.""",
+        this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND <<var;1;20>> DISCLAIMS
+        ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+        FITNESS. IN NO EVENT SHALL <<var;1;20>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+        DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+        CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+        PERFORMANCE OF THIS SOFTWARE.""",
     ),
     (
         "bsd-text",
@@ -71,22 +85,37 @@ TEMPLATES: tuple[tuple[str, str, float, str], ...] = (
         source code must retain the above copyright notice, this list of conditions and the following
         disclaimer. <<beginOptional>>2.<<endOptional>> Redistributions in binary form must reproduce the above
         copyright notice, this list of conditions and the following disclaimer in the documentation and/or
-        other materials provided with the distribution.""",
+        other materials provided with the distribution. <<beginOptional>><<beginOptional>>3.<<endOptional>>
+        Neither the name of <<var;1;20>> nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.<<endOptional>>
+        THIS SOFTWARE IS PROVIDED BY <<var;1;20>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT
+        NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+        DISCLAIMED. IN NO EVENT SHALL <<var;1;20>> BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+        EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+        SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING
+        IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
     ),
     (
         "apache-header",
         "apache-2",
-        1.0,
+        0.9,
         """Licensed under the Apache License, Version 2.0 (the "License"); you may not use <<var;1;6>> except
-        in compliance with the License. You may obtain a copy of the License at""",
+        in compliance with the License. You may obtain a copy of the License at
+        <<beginOptional>>http://<<endOptional>><<beginOptional>>https://<<endOptional>>www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under the License is
+        distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+        See the License for the specific language governing permissions and limitations under the License.""",
     ),
+    ("gpl-header", "gpl", 0.9, _GPL + "see <<beginOptional>>http://<<endOptional>><<beginOptional>>https://<<endOptional>>www.gnu.org/licenses/"),
+    ("gpl-header", "gpl", 0.9, _GPL + "write to the Free Software Foundation, Inc."),
     (
-        "gpl-header",
+        "gpl-terms",
         "gpl",
-        1.0,
-        """is free software<<beginOptional>>:<<endOptional>> you can redistribute it and/or modify it under the
-        terms of the GNU <<beginOptional>>Lesser<<endOptional>> General Public License as published by the Free
-        Software Foundation""",
+        0.75,
+        """is free software: you can redistribute it and/or modify it under the terms of the GNU
+        <<beginOptional>>Lesser<<endOptional>> General Public License as published by the Free Software
+        Foundation""",
     ),
     ("mit-notice", "mit", 0.75, "Released under the <<beginOptional>>terms of the<<endOptional>> MIT License"),
     ("mit-notice", "mit", 0.75, "Licensed under the <<beginOptional>>terms of the<<endOptional>> MIT License"),

@@ -31,6 +31,45 @@ def test_full_texts():
         assert not any(f.template == name for f in scan(words_of(" ".join(words)))[1])
 
 
+def test_changed_or_missing_end_is_refused():
+    for name, _, score, markup in TEMPLATES:
+        if score <= 0.75:
+            continue
+        text = re.sub(r"<<var;.*?>>", "some body", re.sub(r"<<(begin|end)Optional>>", "", markup))
+        words = words_of(text).decode().split()
+        for other in ([*words[:-1], "changed"], words[:-1]):
+            assert not any(f.template == name for f in scan(words_of(" ".join(other)))[1]), name
+
+
+WARRANTY = """THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE REGENTS OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS
+OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT,
+STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN
+IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+CLAUSES = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+"""
+THIRD = """3. Neither the name of the University nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission.
+"""
+
+
+def test_bsd_needs_its_warranty_clause():
+    def found(text):
+        return [(f.template, f.score) for f in scan(words_of(text))[1]]
+
+    assert found(CLAUSES + WARRANTY) == found(CLAUSES + THIRD + WARRANTY) == [("bsd-text", 1.0)]
+    assert found(CLAUSES) == found(CLAUSES + THIRD) == []
+    assert found(CLAUSES + WARRANTY.replace("STRICT LIABILITY", "NO LIABILITY")) == []
+    assert found(CLAUSES + THIRD.replace("without", "with") + WARRANTY) == []
+
+
 def base(text):
     lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
