@@ -599,7 +599,7 @@ def als_grid_scores(spark, sf_dir):
 @_query
 def als_size_runs(spark, sf_dir):
     splits = prepare_splits(fixtures.events_interactions(spark, sf_dir))
-    return als_size_sweep(splits, (0.25, 1.0), list_size=EVENTS_LIST)
+    return als_size_sweep(splits, FRACTIONS, list_size=EVENTS_LIST)
 
 
 def _vectors(spark, sf_dir) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,7 @@ from tallyrec.operators.factors import (
     recommend_builtin,
     user_factors,
 )
+from tallyrec.plans.catalog import FRACTIONS, all_queries
 from tallyrec.plans.latent import als_grid, als_metrics, lsh_map
 from tallyrec.config import SearchParams
 
@@ -77,3 +78,10 @@ def test_metrics_grid_and_search_runs(spark, train):
     assert {(r.rank_dim, r.alpha) for r in rows} == {(1, 1.0), (1, 5.0), (2, 1.0), (2, 5.0)}
     searched = lsh_map(splits, AlsParams(rank=2), [SearchParams(4, 1, 0.5)], 5).collect()
     assert {r["split"] for r in searched} == {"train", "val"}
+
+
+def test_size_runs_cover_every_fraction(spark):
+    rows = all_queries()["als_size_runs"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.fraction for r in rows) == list(FRACTIONS)
+    sizes = [r.train_rows for r in sorted(rows, key=lambda r: r.fraction)]
+    assert sizes == sorted(set(sizes))
