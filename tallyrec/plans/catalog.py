@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tallyrec.functions.keys import normalised_key
 from tallyrec.functions.lists import as_doubles, from_array, head_of, to_arrays
 from tallyrec.operators import ids
 from tallyrec.operators.factors import (
+    AlsFit,
     als_input,
     fit_als,
     item_factors,
@@ -284,6 +286,16 @@ def map_popularity_unseen(spark, sf_dir):
     return _out(metrics)
 
 
+@_query
+def map_popularity_unseen_100(spark, sf_dir):
+    """The same with lists of the published size."""
+    size = SplitParams().list_size
+    splits = prepare_splits(fixtures.orders_interactions(spark, sf_dir))
+    train = _train(splits)
+    lists = unseen_lists(rank_items(item_popularity(train), "users"), train, size)
+    return _out(evaluate(ground_truth(splits), lists, ks=(10,), list_size=size))
+
+
 @_query
 def unseen_list_sizes(spark, sf_dir):
     """Every user's popularity list of unseen items is whole: k items, or all there are."""
@@ -572,6 +584,31 @@ def als_unseen(spark, sf_dir):
     return _longs(sizes)
 
 
+@_query
+def als_unseen_100(spark, sf_dir):
+    """The same with lists of the published size, and whether a left-out item scores above the last kept."""
+    train = _train(prepare_splits(fixtures.orders_interactions(spark, sf_dir)))
+    fit = fit_als(als_input(train))
+    lists = materialise(recommend(fit, SplitParams().list_size, unseen=True), "als-lists")
+    had = train.select("user_id", "item_id", F.lit(1).alias("had"))
+    sizes = lists.join(had, ["user_id", "item_id"], "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("items"), F.count("had").alias("seen_items"),
+        F.max("rank").alias("last_rank"), F.count_distinct("item_id").alias("different"),
+    )
+    return _longs(sizes.join(_better_left_out(fit, lists), "user_id"))
+
+
+def _better_left_out(fit: AlsFit, lists: DataFrame) -> DataFrame:
+    """(user_id, better_left_out): 1 if an item neither had nor listed beats the user's last listed one."""
+    listed = lists.join(fit.source.user_map, "user_id").join(fit.source.item_map, "item_id")
+    listed = listed.select("user_index", "item_index", F.col("score").cast("float").alias("score"))
+    rest = replace(fit, source=replace(fit.source, ratings=fit.source.ratings.unionByName(listed)))
+    best = recommend(rest, 1, unseen=True).select("user_id", F.col("score").alias("best"))
+    last = lists.groupBy("user_id").agg(F.min("score").alias("last"))
+    better = F.coalesce(F.col("best") > F.col("last"), F.lit(False)).cast("bigint")
+    return last.join(best, "user_id", "left").select("user_id", better.alias("better_left_out"))
+
+
 @_query
 def als_factors(spark, sf_dir):
     splits = prepare_splits(fixtures.events_interactions(spark, sf_dir))

@@ -305,6 +305,11 @@ SELECT beta, rank, item_id, round(score, 9) AS score FROM voted""",
 {_truth()},
 {_unseen(20)},
 {_metrics("SELECT 0 AS model, user_id, rank, item_id FROM personal", _ONE, "split", (10,))}
+SELECT split, users, {_rounded(["map", "map_hit_norm", *_at((10,))])} FROM metrics""",
+        "map_popularity_unseen_100": f"""WITH {_splits(ORDERS)},
+{_truth()},
+{_unseen(100)},
+{_metrics("SELECT 0 AS model, user_id, rank, item_id FROM personal", _ONE, "split", (10,))}
 SELECT split, users, {_rounded(["map", "map_hit_norm", *_at((10,))])} FROM metrics""",
         "unseen_list_sizes": f"""WITH {_splits(ORDERS)},
 {_unseen(20)}
@@ -323,6 +328,14 @@ sizes AS (
   SELECT user_id, least(20, (SELECT count(DISTINCT item_id) FROM train) - count(*)) AS items
   FROM train GROUP BY user_id)
 SELECT user_id, items, CAST(0 AS BIGINT) AS seen_items, items AS last_rank, items AS different
+FROM sizes WHERE items > 0""",
+        "als_unseen_100": f"""WITH {_splits(ORDERS)},
+train AS (SELECT DISTINCT user_id, item_id FROM splits WHERE split = 'train'),
+sizes AS (
+  SELECT user_id, least(100, (SELECT count(DISTINCT item_id) FROM train) - count(*)) AS items
+  FROM train GROUP BY user_id)
+SELECT user_id, items, CAST(0 AS BIGINT) AS seen_items, items AS last_rank, items AS different,
+       CAST(0 AS BIGINT) AS better_left_out
 FROM sizes WHERE items > 0""",
         "ranking_metrics_at_k": _popularity_metrics(
             ORDERS, at_orders, 100, ["map", "map_hit_norm", *_at(at_orders)]

@@ -10,7 +10,7 @@ from tallyrec.operators.factors import (
     recommend_builtin,
     user_factors,
 )
-from tallyrec.plans.catalog import FRACTIONS, all_queries
+from tallyrec.plans.catalog import FRACTIONS, _better_left_out, all_queries
 from tallyrec.plans.latent import als_grid, als_metrics, lsh_map
 from tallyrec.config import SearchParams
 
@@ -85,3 +85,10 @@ def test_size_runs_cover_every_fraction(spark):
     assert sorted(r.fraction for r in rows) == list(FRACTIONS)
     sizes = [r.train_rows for r in sorted(rows, key=lambda r: r.fraction)]
     assert sizes == sorted(set(sizes))
+
+
+def test_a_better_item_left_out_of_an_unseen_list_is_found(fit):
+    lists = recommend(fit, 6, unseen=True)
+    assert not any(r.better_left_out for r in _better_left_out(fit, lists.where("rank <= 5")).collect())
+    worse = _better_left_out(fit, lists.where("rank > 1")).collect()
+    assert len(worse) == 20 and sum(r.better_left_out for r in worse) > 10
