@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrec.llm import (
+    centroids,
     chat,
     cosine,
     html_text,
@@ -108,6 +109,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.chat_forest(rows.union(own), CHAT_RANKS, public_tokenizers.PATTERN))
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds of exact integer k-means with 16 centroids."""
+    found = centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return found.drop("n_exact")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -120,6 +127,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_topk": op8_topk,
         "op9_licenses": op9_licenses,
         "op10_chat": op10_chat,
+        "op13_centroids": op13_centroids,
     }
 
 
@@ -201,9 +209,58 @@ FROM embeddings e LEFT JOIN degree d ON d.vec_id = e.vec_id JOIN component c ON
 """
 
 
+def _centroid_sql(rounds: int = 3, k: int = 16) -> str:
+    """Squared distances of every vector to every centroid, a pair of subqueries per round."""
+    nearest = """
+  SELECT vec_id, v, cluster, distance FROM (
+    SELECT x.vec_id, x.v, c.cluster, x.place,
+           CAST(list_sum(list_transform(range(1, 65), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i]))) AS BIGINT) AS distance
+    FROM kept x CROSS JOIN centre{r} c
+  ) QUALIFY row_number() OVER (PARTITION BY place ORDER BY distance, cluster) = 1"""
+    parts = [
+        """kept AS (
+  SELECT row_number() OVER () AS place, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""centre0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), v) - 1 AS INTEGER) AS cluster, v
+  FROM kept QUALIFY cluster < {k}
+)""",
+    ]
+    for r in range(rounds):
+        parts += [
+            f"near{r} AS ({nearest.format(r=r)}\n)",
+            f"""mean{r} AS (
+  SELECT cluster, list(floored ORDER BY i) AS v FROM (
+    SELECT cluster, i, (s - ((s % n) + n) % n) // n AS floored FROM (
+      SELECT cluster, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+      FROM near{r} CROSS JOIN (SELECT unnest(range(1, 65)) AS i) GROUP BY cluster, i)
+  ) GROUP BY cluster
+)""",
+            f"""centre{r + 1} AS (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM centre{r} c LEFT JOIN mean{r} m ON m.cluster = c.cluster
+)""",
+        ]
+    return (
+        "WITH "
+        + ", ".join(f"{p.split(' AS ', 1)[0]} AS MATERIALIZED {p.split(' AS ', 1)[1]}" for p in parts)
+        + f""", last AS ({nearest.format(r=rounds)}
+)
+SELECT l.vec_id, l.cluster, l.distance,
+       CAST(sum(l.distance) OVER (PARTITION BY l.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(l.distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM last l JOIN centre{rounds} c ON c.cluster = l.cluster
+"""
+    )
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op2_jaccard": _JACCARD_SQL,
         "op6_near_vectors": _COSINE_SQL,
         "op8_topk": _TOPK_SQL,
+        "op13_centroids": _centroid_sql(),
     }
