@@ -17,6 +17,7 @@ from tallyrec.llm import (
     jaccard,
     language,
     licenses,
+    merkle,
     packing,
     pieces,
     quality,
@@ -109,6 +110,19 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.chat_forest(rows.union(own), CHAT_RANKS, public_tokenizers.PATTERN))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle tree over all documents by source; every leaf folded to the root, a fifth of them tampered with."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return merkle.build_manifest(
+        _table(spark, sf_dir, "documents"),
+        "doc_id",
+        "source",
+        ["doc_id", "source", "lang", "n_chars", "text"],
+        changed={"text": F.translate("text", upper, lower)},
+        where=F.crc32(F.col("doc_id").cast("string")) % 5 == 0,
+    ).folds()
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector after three rounds of exact integer k-means with 16 centroids."""
     found = centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -127,6 +141,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_topk": op8_topk,
         "op9_licenses": op9_licenses,
         "op10_chat": op10_chat,
+        "op11_merkle": op11_merkle,
         "op13_centroids": op13_centroids,
     }
 
@@ -209,6 +224,68 @@ FROM embeddings e LEFT JOIN degree d ON d.vec_id = e.vec_id JOIN component c ON
 """
 
 
+#: Trees by recursion, a level at a time; then every leaf climbs with its replacement and its siblings.
+_MERKLE_SQL = """
+WITH RECURSIVE tampered AS (
+  SELECT *, xor(4294967295, list_reduce(
+      list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) % 5 = 0 AS hit,
+    coalesce('=' || source, '') AS tree,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text
+  FROM documents
+), hashed AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(lower_text) || ':' || lower_text, '-')) AS other, coalesce(hit, false) AS hit
+  FROM tampered
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n, row_number() OVER () AS id
+  FROM hashed
+), node AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+  FROM node WHERE n > 1 GROUP BY tree, level, pos // 16
+), subroot AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM node WHERE n = 1
+), upper AS (
+  SELECT 0 AS level, pos, n, h FROM subroot
+  UNION ALL
+  SELECT level + 1, pos // 16, (max(n) + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+  FROM upper WHERE n > 1 GROUP BY level, pos // 16
+), run AS (
+  SELECT tree, level, pos // 16 AS parent, list(h ORDER BY pos) AS h FROM node WHERE n > 1 GROUP BY tree, level, pos // 16
+), upper_run AS (
+  SELECT level, pos // 16 AS parent, list(h ORDER BY pos) AS h FROM upper WHERE n > 1 GROUP BY level, pos // 16
+), climb AS (
+  SELECT id, tree, 0 AS level, pos, CASE WHEN hit THEN other ELSE leaf END AS folded, '' AS proof FROM leaves
+  UNION ALL
+  SELECT c.id, c.tree, c.level + 1, c.pos // 16,
+    sha256(array_to_string(list_concat(list_concat(r.h[1:c.pos % 16], [c.folded]), r.h[c.pos % 16 + 2:]), '')),
+    c.proof || array_to_string(list_concat(r.h[1:c.pos % 16], r.h[c.pos % 16 + 2:]), '')
+  FROM climb c JOIN run r ON r.tree = c.tree AND r.level = c.level AND r.parent = c.pos // 16
+), top_climb AS (
+  SELECT c.id, 0 AS level, s.pos, c.folded, c.proof
+  FROM (SELECT * FROM climb QUALIFY row_number() OVER (PARTITION BY id ORDER BY level DESC) = 1) c
+  JOIN subroot s ON s.tree = c.tree
+  UNION ALL
+  SELECT c.id, c.level + 1, c.pos // 16,
+    sha256(array_to_string(list_concat(list_concat(r.h[1:c.pos % 16], [c.folded]), r.h[c.pos % 16 + 2:]), '')),
+    c.proof || array_to_string(list_concat(r.h[1:c.pos % 16], r.h[c.pos % 16 + 2:]), '')
+  FROM top_climb c JOIN upper_run r ON r.level = c.level AND r.parent = c.pos // 16
+)
+SELECT l.doc_id, l.leaf, s.h AS subroot, u.h AS root, sha256(t.proof) AS proof_sha256, t.folded AS folded_root,
+  t.folded = u.h AS verified
+FROM leaves l
+JOIN subroot s ON s.tree = l.tree
+JOIN (SELECT * FROM top_climb QUALIFY row_number() OVER (PARTITION BY id ORDER BY level DESC) = 1) t ON t.id = l.id
+CROSS JOIN (SELECT h FROM upper WHERE n = 1) u
+"""
+
+
 def _centroid_sql(rounds: int = 3, k: int = 16) -> str:
     """Squared distances of every vector to every centroid, a pair of subqueries per round."""
     nearest = """
@@ -262,5 +339,6 @@ def llm_oracles() -> dict[str, str]:
         "op2_jaccard": _JACCARD_SQL,
         "op6_near_vectors": _COSINE_SQL,
         "op8_topk": _TOPK_SQL,
+        "op11_merkle": _MERKLE_SQL,
         "op13_centroids": _centroid_sql(),
     }
