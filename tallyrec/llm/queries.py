@@ -22,6 +22,7 @@ from tallyrec.llm import (
     pieces,
     quality,
     topk,
+    warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,6 +124,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).folds()
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes all pages to WARC archives, equal payloads once, and reads the archives back."""
+    found = warc.round_trip(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector after three rounds of exact integer k-means with 16 centroids."""
     found = centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -142,6 +149,7 @@ def llm_queries() -> dict[str, Query]:
         "op9_licenses": op9_licenses,
         "op10_chat": op10_chat,
         "op11_merkle": op11_merkle,
+        "op12_warc": op12_warc,
         "op13_centroids": op13_centroids,
     }
 
@@ -286,6 +294,33 @@ CROSS JOIN (SELECT h FROM upper WHERE n = 1) u
 """
 
 
+#: SHA-1 by DuckDB, its bytes as bits in groups of five.
+_WARC_SQL = """
+WITH page AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, coalesce(html, '') AS payload,
+         sha1(coalesce(html, '')) AS digest
+  FROM pages
+), first AS (
+  SELECT payload, min(page_id) AS first FROM page GROUP BY payload
+)
+SELECT p.page_id, p.payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda g:
+         list_aggregate(list_transform(range(0, 5), lambda b:
+           ((strpos('0123456789abcdef', p.digest[(5 * g + b) // 4 + 1]) - 1) // CAST(2 ** (3 - (5 * g + b) % 4) AS INTEGER) % 2)
+             * CAST(2 ** (4 - b) AS INTEGER)), 'sum')), ',') AS groups,
+       CASE WHEN p.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
+FROM page p JOIN first f ON f.payload = p.payload
+"""
+_WARC_SQL = f"""
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(string_split(groups, ','),
+         lambda x: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[CAST(x AS INTEGER) + 1]), '') AS payload_digest,
+       record_type, refers_to
+FROM ({_WARC_SQL})
+"""
+
+
 def _centroid_sql(rounds: int = 3, k: int = 16) -> str:
     """Squared distances of every vector to every centroid, a pair of subqueries per round."""
     nearest = """
@@ -340,5 +375,6 @@ def llm_oracles() -> dict[str, str]:
         "op6_near_vectors": _COSINE_SQL,
         "op8_topk": _TOPK_SQL,
         "op11_merkle": _MERKLE_SQL,
+        "op12_warc": _WARC_SQL,
         "op13_centroids": _centroid_sql(),
     }
