@@ -34,8 +34,9 @@ from tallyrec.sources.stage import materialise
 SLOTS = 256
 DIMENSIONS = 4
 BITS = 10
-#: Rows of documents handed to Python at once.
+#: Rows of documents handed to Python at once, and characters whose words are looked up together.
 DOCS_AT_ONCE = 2000
+LOOK_UP = 2 << 20
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -100,7 +101,7 @@ def tokenised(df: DataFrame, id_column: str, text_column: str, path: str, end_id
         width = np.dtype(encoder.dtype).itemsize
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for start, texts in text_groups(batch, 1):
+            for start, texts in text_groups(batch, 1, LOOK_UP):
                 ids = [x + end for x in encoder.encode(texts)]
                 places = place([np.frombuffer(x, encoder.dtype) for x in ids])
                 n = len(ids)

@@ -6,6 +6,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
+from tallyrec.llm import word_ids
 from tallyrec.llm.packing import hilbert_key, pack
 from tallyrec.llm.word_ids import WordIds
 
@@ -31,6 +32,24 @@ def test_words_equal_library():
         assert np.frombuffer(ids, own.dtype).tolist() == own.library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_table_is_bounded(monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    monkeypatch.setattr(word_ids, "TABLE_BYTES", 300_000)
+    own = WordIds(PATH)
+    unspaced = ["".join(chr(rng.randint(0x4E00, 0x4FFF)) for _ in range(3000)) for _ in range(2000)]
+    own.encode(unspaced[:1000])
+    own.encode(unspaced[1000:] + ["x" * 65])
+    assert own.table.bytes() == 0  # words that long are never stored
+    for k in range(40):
+        words = ["".join(rng.choices("abcdefgh!.'1é", k=rng.randint(1, 9))) for _ in range(1500)]
+        text = " ".join(words)
+        want = own.library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(own.encode([text])[0], own.dtype).tolist() == want
+        assert own.table.bytes() <= 300_000
+
+
 @pytest.mark.parametrize("length", [64, 4096])
 def test_every_id_in_one_piece(spark, documents, length):
     long = " ".join(f"word{i}" for i in range(5000))
