@@ -12,7 +12,7 @@ order, rare ones first (by the document counts of the most frequent ones, then b
 * The boundary is where the estimated cost of both ways is lowest: rows written for
   subsets against rows and list entries scanned, summed by set size over all documents.
 
-Sets that are equal are one class and meet as one. Within a list every member is first
+Sets that are equal are one class (64 bits of a fingerprint of the set) and meet as one. Within a list every member is first
 compared with one pivot; only members that this leaves in other components than the
 pivot are compared with the rest of their list (both filtered by size, by position
 in the order and by the differing bits of two parity bitmaps), so a large group of near copies costs its size, not its square, and no
@@ -22,7 +22,9 @@ returns each link between classes.
 Defined results: words are runs of anything but ASCII blanks after lower-casing A-Z; a
 text of fewer than five words is one shingle; null, empty and blank texts have none,
 link with nothing and are their own component; repeated rows are kept, one result row
-each; an empty table gives an empty table; other columns are not read.
+each, and rows that share an id but not their text are compared each by its own text; the
+component of rows without id is the smallest id linked with them, null if there is none;
+an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -58,6 +60,8 @@ DOCS_AT_ONCE = 2000
 PARITY = [f"b{k}" for k in range(8)]
 #: Bits of a signature by which shared lists are looked for; later steps use all 64.
 LIST_KEY = 38
+#: Classes a task remembers to have met.
+CLASSES_KNOWN = 100_000
 #: Pairs of whole sets handed to Python at once.
 SETS_AT_ONCE = 256
 #: Cost of a comparison against that of a signature row. An entry of a list that others
@@ -205,6 +209,11 @@ def parity(hashes: np.ndarray) -> bytes:
     return np.packbits((bits & 1).astype(np.uint8)).tobytes()
 
 
+def class_key(hashes: np.ndarray) -> int:
+    """64 bits that tell sets apart."""
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def set_rows(
     df: DataFrame,
     id_column: str,
@@ -213,7 +222,7 @@ def set_rows(
     percent: int,
     words: int,
 ) -> DataFrame:
-    """Per document: size, fingerprint, ordered prefix, and estimated costs of both ways."""
+    """Per document: size, class, ordered prefix, and estimated costs of both ways."""
     shared = df.sparkSession.sparkContext.broadcast(frequent)
     cut = np.uint64(64 - HASH_KEY)
 
@@ -238,7 +247,7 @@ def set_rows(
                     order = np.argsort(key, kind="stable")[: min(first, n)]
                     sizes.append(n)
                     maps.append(parity(hashes))
-                    prints.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
+                    prints.append(class_key(hashes))
                     heads.append(hashes[order].view(np.int64))
                     scans.append(float((of[order[: first - 1]] > 1).sum()))
                     subsets.append(first * (first - 1) // 2)
@@ -248,20 +257,20 @@ def set_rows(
                     [
                         batch.column(0).slice(start, len(texts)).cast(pa.int64()),
                         pa.array(sizes, pa.int64()),
-                        pa.array(prints, pa.binary()),
+                        pa.array(np.array(prints, dtype=np.int64)),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                         pa.array(scans, pa.float64()),
                         pa.array(subsets, pa.int64()),
                         pa.array(maps, pa.binary()),
                     ],
-                    ["doc_id", "n", "print", "head", "scan", "subsets", "parity"],
+                    ["doc_id", "n", "class", "head", "scan", "subsets", "parity"],
                 )
 
     return map_arrow(
         df,
         [id_column, text_column],
         run,
-        "doc_id bigint, n bigint, print binary, head array<bigint>, scan double, subsets bigint, "
+        "doc_id bigint, n bigint, class bigint, head array<bigint>, scan double, subsets bigint, "
         "parity binary",
     )
 
@@ -328,50 +337,80 @@ def _numbered_signatures(part: pa.RecordBatch, boundary: int, percent: int) -> t
     return _signatures(n, ends, head.values.to_numpy(zero_copy_only=False), boundary, percent)
 
 
+class NewClasses:
+    """Picks the rows of a task whose class it has not seen among its last ``CLASSES_KNOWN`` ones."""
+
+    def __init__(self) -> None:
+        self.seen: set[int] = set()
+
+    def __call__(self, part: pa.RecordBatch) -> pa.RecordBatch:
+        keys = part.column(2).to_pylist()
+        new = {c: k for k, c in reversed(list(enumerate(keys))) if c not in self.seen}
+        if len(self.seen) + len(new) > CLASSES_KNOWN:
+            self.seen.clear()
+        self.seen.update(new)
+        return part.take(pa.array(sorted(new.values()), pa.int64()))
+
+
 def shared_lists(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
     """(list): signatures, cut to ``LIST_KEY`` bits, that more than one class has.
 
-    A row is one integer: the cut signature and a hash of class and signature. Of equal
-    signatures a group of documents sends two at most, so no list is ever hot here.
+    Of equal signatures a group of documents sends two classes at most, so no list is ever
+    hot here.
     """
     low = np.uint64(64 - LIST_KEY)
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new = NewClasses()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+                part = new(batch.slice(at, 1000))
                 doc, value, _, _ = _numbered_signatures(part, boundary, percent)
-                prints = np.frombuffer(b"".join(p.as_py()[:8] for p in part.column(2)), dtype="<u8")
-                of_class = mix(prints[doc] ^ mix(value)) >> np.uint64(LIST_KEY)
-                rows = np.unique(value >> low << low | of_class)
-                lists = rows >> low
-                edge = np.flatnonzero(np.diff(lists, prepend=~lists[:1], append=~lists[-1:]))
-                ends = np.unique(np.concatenate([edge[:-1], edge[1:] - 1]))
-                yield pa.RecordBatch.from_arrays([pa.array(rows[ends].view(np.int64))], ["row"])
+                lists = (value >> low).astype(np.int64)
+                of_class = part.column(2).to_numpy(zero_copy_only=False)[doc]
+                ends = _two_of_each(lists, of_class)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lists[ends]), pa.array(of_class[ends])], ["list", "class"]
+                )
 
     def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) for b in batches]
+        parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches]
         if parts:
-            lists = np.unique(np.concatenate(parts)) >> low
-            again = np.unique(lists[1:][lists[1:] == lists[:-1]])
-            yield pa.RecordBatch.from_arrays([pa.array(again.astype(np.int64))], ["list"])
+            lists, of_class = (np.concatenate(c) for c in zip(*parts, strict=True))
+            parts.clear()
+            ends = _two_of_each(lists, of_class)
+            lists = lists[ends]
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(lists[1:][lists[1:] == lists[:-1]]))], ["list"])
 
-    rows = map_arrow(sets, ["doc_id", "n", "print", "head"], emit, "row bigint")
+    rows = map_arrow(sets, ["doc_id", "n", "class", "head"], emit, "list bigint, class bigint")
     partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartition(partitions, F.shiftrightunsigned("row", 64 - LIST_KEY))
-    return dealt.mapInArrow(pick, "list bigint")
+    return rows.repartition(partitions, "list").mapInArrow(pick, "list bigint")
+
+
+def _two_of_each(lists: np.ndarray, of_class: np.ndarray) -> np.ndarray:
+    """Places, in order of their list, of two rows of unlike classes per list; of one if there is but one class."""
+    order = np.argsort(lists, kind="stable")
+    lists, of_class = lists[order], of_class[order]
+    start = np.flatnonzero(np.diff(lists, prepend=~lists[:1]))
+    if not len(start):
+        return order
+    first = np.repeat(of_class[start], np.diff(start, append=len(lists)))
+    other = np.flatnonzero(of_class != first)
+    group = np.searchsorted(start, other, side="right")
+    other = other[np.flatnonzero(np.diff(group, prepend=-1))]
+    return order[np.sort(np.concatenate([start, other]))]
 
 
 def _entries(sets: DataFrame, boundary: int, percent: int, only: np.ndarray) -> DataFrame:
-    """Signature rows whose list the bitmap ``only`` lets through."""
+    """Signature rows whose list the bitmap ``only`` lets through; of a class about once per task."""
     shared = sets.sparkSession.sparkContext.broadcast(only)
     low = np.uint64(64 - LIST_KEY)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
+        found, new = shared.value, NewClasses()
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+                part = new(batch.slice(at, 1000))
                 doc, value, place, light = _numbered_signatures(part, boundary, percent)
                 lists = (value >> low).astype(np.int64)
                 keep = in_bitmap(found, lists)
@@ -388,34 +427,37 @@ def _entries(sets: DataFrame, boundary: int, percent: int, only: np.ndarray) ->
                         pa.array(light[keep]),
                         *(pa.array(np.ascontiguousarray(c)) for c in maps.T),
                     ],
-                    ["list", "sig", "print", "n", "place", "light", *PARITY],
+                    ["list", "sig", "class", "n", "place", "light", *PARITY],
                 )
 
-    schema = "list bigint, sig bigint, print binary, n bigint, place bigint, light boolean"
+    schema = "list bigint, sig bigint, class bigint, n bigint, place bigint, light boolean"
     schema += "".join(f", {c} bigint" for c in PARITY)
-    return map_arrow(sets, ["doc_id", "n", "print", "head", "parity"], run, schema)
+    return map_arrow(sets, ["doc_id", "n", "class", "head", "parity"], run, schema)
 
 
 def _full_sets(df: DataFrame, id_column: str, text_column: str, wanted: np.ndarray, words: int) -> DataFrame:
-    """All shingles of the documents that ``wanted`` lets through, recomputed from the text."""
+    """All shingles, recomputed from the text, of the documents whose id ``wanted`` lets through or is null."""
     shared = df.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
+        found, new = shared.value, NewClasses()
         for batch in batches:
-            batch = batch.filter(batch.column(0).is_valid())
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            batch = batch.filter(pa.array(in_bitmap(found, ids)))
+            ids = batch.column(0).cast(pa.int64())
+            known = in_bitmap(found, ids.fill_null(0).to_numpy(zero_copy_only=False))
+            batch = batch.filter(pa.array(known | ~ids.is_valid().to_numpy(zero_copy_only=False)))
             for start, texts in text_groups(batch, 1):
-                yield pa.RecordBatch.from_arrays(
+                sets = [shingle_set(t, words) for t in texts]
+                rows = pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(texts)).cast(pa.int64()),
-                        pa.array([shingle_set(t, words).tobytes() for t in texts], pa.binary()),
+                        pa.array([s.tobytes() for s in sets], pa.binary()),
+                        pa.array([class_key(s) for s in sets], pa.int64()),
                     ],
-                    ["doc_id", "hashes"],
+                    ["doc_id", "hashes", "class"],
                 )
+                yield new(rows).select(["class", "hashes"])
 
-    return map_arrow(df, [id_column, text_column], run, "doc_id bigint, hashes binary")
+    return map_arrow(df, [id_column, text_column], run, "class bigint, hashes binary")
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
@@ -444,8 +486,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ["a", "b", "overlap"],
             )
 
-    one = sets.withColumnsRenamed({"doc_id": "a", "hashes": "x"})
-    two = sets.withColumnsRenamed({"doc_id": "b", "hashes": "y"})
+    one = sets.withColumnsRenamed({"class": "a", "hashes": "x"})
+    two = sets.withColumnsRenamed({"class": "b", "hashes": "y"})
     joined = pairs.join(one, "a").join(two, "b")
     schema = "a bigint, b bigint, overlap bigint"
     with arrow_rows(pairs.sparkSession, SETS_AT_ONCE):
@@ -456,22 +498,34 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 class JaccardJoin:
     """Result of a join: per document its class; links of classes; component of classes."""
 
-    #: doc_id, n_shingles, print (the class), representative (smallest doc_id of the class)
+    #: doc_id, n_shingles, class
     members: DataFrame
-    #: a, b (representatives, a < b), overlap: all links, or enough to span the components
-    links: DataFrame
-    #: representative, component_id; classes without links are absent
-    roots: DataFrame
+    #: class, representative (smallest doc_id of the class), root (a class of the component),
+    #: component_id (smallest doc_id of the component); sets without shingles are absent
+    classes: DataFrame
+    #: a, b (classes, a < b), overlap: all links, or enough to span the components
+    class_links: DataFrame
     #: set size up to which subsets were enumerated
     boundary: int
 
+    @property
+    def links(self) -> DataFrame:
+        """a, b (representatives), overlap."""
+        a = self.classes.select(F.col("class").alias("a"), F.col("representative").alias("x"))
+        b = self.classes.select(F.col("class").alias("b"), F.col("representative").alias("y"))
+        return self.class_links.join(a, "a").join(b, "b").select(
+            F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "overlap"
+        )
+
     def documents(self) -> DataFrame:
-        """One row per document: doc_id, n_shingles, component_id."""
-        found = self.members.join(self.roots, "representative", "left")
+        """One row per document: doc_id, n_shingles, component_id; and root, the same for all of a component."""
+        found = self.members.join(self.classes.select("class", "root", "component_id"), "class", "left")
+        own = F.col("n_shingles") == 0
         return found.select(
             "doc_id",
             "n_shingles",
-            F.coalesce("component_id", "representative").alias("component_id"),
+            F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+            F.coalesce("root", "class").alias("root"),
         )
 
 
@@ -489,10 +543,10 @@ def _pairs(s: DataFrame, o: DataFrame, boundary: int, percent: int, more: str) -
     apart = " + ".join(f"bit_count(s_{c} ^ o_{c})" for c in PARITY)
     differ = f"{100 + percent} * ({apart}) <= {100 - percent} * (s_n + o_n)"
     found = left.join(right, "sig").where(
-        f"s_doc <> o_doc and {size} and {place} and {kind} and {more} and {differ}"
+        f"s_class <> o_class and {size} and {place} and {kind} and {more} and {differ}"
     )
     return found.select(
-        F.least("s_doc", "o_doc").alias("a"), F.greatest("s_doc", "o_doc").alias("b")
+        F.least("s_class", "o_class").alias("a"), F.greatest("s_class", "o_class").alias("b")
     ).distinct()
 
 
@@ -518,53 +572,49 @@ def _jaccard_join(
 
     alive = materialise(shared_lists(sets, boundary, percent), "jaccard-lists")
     classes = materialise(
-        sets.where("n > 0").groupBy("print").agg(F.min("doc_id").alias("doc")), "jaccard-classes"
+        sets.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("representative")), "jaccard-classes"
     )
     rows = (
         _entries(sets, boundary, percent, bitmap(alive, "list", LIST_BITS))
         .join(alive, "list", "left_semi")
+        .drop("list")
         .distinct()
-        .join(classes, "print")
-        .where("doc is not null")
-        .select("sig", "doc", "n", "place", "light", *PARITY)
     )
     rows = materialise(rows, "jaccard-entries")
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The given pairs that link, by the whole sets of the documents in them."""
-        docs = pairs.select(F.explode(F.array("a", "b")).alias("doc"))
-        found = _full_sets(df, id_column, text_column, bitmap(docs, "doc", DOC_BITS), words)
-        found = materialise(found.dropDuplicates(["doc_id"]), "jaccard-full")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        docs = classes.join(wanted, "class", "left_semi").where("representative is not null")
+        found = _full_sets(df, id_column, text_column, bitmap(docs, "representative", DOC_BITS), words)
+        found = materialise(found.dropDuplicates(["class"]), "jaccard-full")
         return _linked(pairs, found, percent)
 
     if all_links:
-        pairs = materialise(_pairs(rows, rows, boundary, percent, "s_doc < o_doc"), "jaccard-pairs")
+        pairs = materialise(_pairs(rows, rows, boundary, percent, "s_class < o_class"), "jaccard-pairs")
         links = linked(pairs)
         roots = components(links)
     else:
         links, roots = _spanning_links(rows, linked, boundary, percent)
-    members = sets.select("doc_id", F.col("n").alias("n_shingles"), "print").join(classes, "print", "left")
-    members = members.select(
-        "doc_id",
-        "n_shingles",
-        "print",
-        F.when(F.col("n_shingles") > 0, F.col("doc")).otherwise(F.col("doc_id")).alias("representative"),
+    rooted = classes.join(roots.withColumnRenamed("v", "class"), "class", "left").withColumn(
+        "root", F.coalesce("root", "class")
     )
-    named = roots.select(F.col("v").alias("representative"), F.col("root").alias("component_id"))
-    return JaccardJoin(members, links, named, boundary)
+    smallest = rooted.groupBy("root").agg(F.min("representative").alias("component_id"))
+    named = materialise(rooted.join(smallest, "root"), "jaccard-components")
+    return JaccardJoin(sets.select("doc_id", F.col("n").alias("n_shingles"), "class"), named, links, boundary)
 
 
 def _spanning_links(
     rows: DataFrame, linked: Callable[[DataFrame], DataFrame], boundary: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
     """Links that connect all that linked pairs connect, and the components they make."""
-    # another pivot in every list, so that the lists of a document lead to different ones
-    pick = F.xxhash64("doc", "sig").alias("pick")
+    # another pivot in every list, so that the lists of a class lead to different ones
+    pick = F.xxhash64("class", "sig").alias("pick")
     pivots = rows.groupBy("sig").agg(
-        F.min(F.struct(pick, "doc", "n", "place", "light", *PARITY)).alias("p")
+        F.min(F.struct(pick, "class", "n", "place", "light", *PARITY)).alias("p")
     )
     pivots = materialise(
-        pivots.select("sig", *(f"p.{c}" for c in ("doc", "n", "place", "light", *PARITY))), "jaccard-pivots"
+        pivots.select("sig", *(f"p.{c}" for c in ("class", "n", "place", "light", *PARITY))), "jaccard-pivots"
     )
     star = materialise(_pairs(pivots, rows, boundary, percent, "true"), "jaccard-star")
     links = linked(star)
@@ -572,28 +622,28 @@ def _spanning_links(
 
     # members of a list that are not where its pivot is
     rooted = (
-        rows.join(roots.withColumnRenamed("v", "doc"), "doc", "left")
-        .withColumn("root", F.coalesce("root", "doc"))
-        .select("sig", "doc", "n", "place", "light", "root", *PARITY)
+        rows.join(roots.withColumnRenamed("v", "class"), "class", "left")
+        .withColumn("root", F.coalesce("root", "class"))
+        .select("sig", "class", "n", "place", "light", "root", *PARITY)
     )
     rooted = materialise(rooted, "jaccard-rooted")
     split = rooted.groupBy("sig").agg(
         F.min("root").alias("low"),
         F.max("root").alias("high"),
-        F.min(F.struct(pick, "doc", "root")).alias("p"),
+        F.min(F.struct(pick, "class", "root")).alias("p"),
     )
     split = materialise(
         split.where("low < high").select(
-            "sig", F.col("p.doc").alias("pivot"), F.col("p.root").alias("pivot_root")
+            "sig", F.col("p.class").alias("pivot"), F.col("p.root").alias("pivot_root")
         ),
         "jaccard-split",
     )
-    open_ = rooted.join(split, "sig").where("doc <> pivot")
+    open_ = rooted.join(split, "sig").where("class <> pivot")
     open_ = materialise(open_.withColumn("away", F.expr("root <> pivot_root")), "jaccard-open")
     away = open_.where("away").drop("pivot", "pivot_root")
     rest = open_.drop("pivot", "pivot_root")
     pairs = _pairs(
-        away, rest, boundary, percent, "s_root <> o_root and (not o_away or s_doc < o_doc)"
+        away, rest, boundary, percent, "s_root <> o_root and (not o_away or s_class < o_class)"
     )
     pairs = materialise(pairs.join(star, ["a", "b"], "left_anti"), "jaccard-rest")
     more = linked(pairs)
@@ -619,19 +669,22 @@ def _spanning_links(
     return links.union(more), materialise(final, "jaccard-roots")
 
 
-def one_of_each(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Rows, as they are, without those that link with a smaller id; of repeated ids one row.
+def one_of_each(df: DataFrame, id_column: str, text_column: str, words: int = WORDS) -> DataFrame:
+    """Rows, as they are, without those that link with a smaller id.
 
-    Rows without id stay. Only rows that a bitmap of the ids in question lets through are
-    shuffled; the others are clear at once.
+    Rows that share an id are told apart by their texts: each stays that its own text does
+    not link with a smaller id, but of equal or linked ones only one. Rows without id stay.
+    Only rows that a bitmap of the ids in question lets through are shuffled; the others
+    are clear at once.
     """
-    found = materialise(jaccard_join(df, id_column, text_column).documents(), "jaccard-documents")
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    twice = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("m")).where("m > 1")
-    gone = materialise(gone.distinct(), "jaccard-gone")
-    shared = df.sparkSession.sparkContext.broadcast(
-        bitmap(gone.union(twice.select("doc_id")), "doc_id", DOC_BITS)
+    joined = jaccard_join(df, id_column, text_column, words=words)
+    found = materialise(joined.documents(), "jaccard-documents").where("doc_id is not null")
+    many = F.count("*") > 1
+    decided = found.groupBy("doc_id").agg(
+        many.alias("repeated"), F.max(F.col("doc_id") != F.col("component_id")).alias("gone")
     )
+    decided = materialise(decided.where("repeated or gone"), "jaccard-gone")
+    shared = df.sparkSession.sparkContext.broadcast(bitmap(decided, "doc_id", DOC_BITS))
 
     def in_question(ids: list[int | None]) -> np.ndarray:
         known = np.array([i is not None for i in ids], dtype=bool)
@@ -640,5 +693,35 @@ def one_of_each(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
     clear = keep_rows(df, id_column, lambda ids: (~in_question(ids)).tolist())
     doubtful = keep_rows(df, id_column, lambda ids: in_question(ids).tolist())
-    rest = doubtful.join(gone.withColumnRenamed("doc_id", id_column), id_column, "left_anti")
-    return clear.unionByName(rest.dropDuplicates([id_column]).select(*df.columns))
+    ids = decided.withColumnRenamed("doc_id", id_column)
+    rest = doubtful.join(ids.select(id_column), id_column, "left_anti")
+    repeated = doubtful.join(ids.where("repeated").select(id_column), id_column, "left_semi")
+    return clear.unionByName(rest.select(*df.columns)).unionByName(
+        _by_text(repeated, joined, id_column, text_column, words)
+    )
+
+
+def _by_text(df: DataFrame, joined: JaccardJoin, id_column: str, text_column: str, words: int) -> DataFrame:
+    """Of rows with repeated ids those that stay, decided by the class of each row's text."""
+    at = df.columns.index(text_column)
+    own = [f"_row_{k}" for k in range(len(df.columns))]  # names that clash with nothing
+    schema = ", ".join(f"{c} {t}" for c, (_, t) in zip(own, df.dtypes, strict=True)) + ", class bigint, n bigint"
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in text_groups(batch, at):
+                sets = [shingle_set(t, words) for t in texts]
+                part = batch.slice(start, len(texts))
+                extra = [pa.array([class_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*part.columns, *extra], [*own, "class", "n"])
+
+    rows = df.mapInArrow(run, schema)
+    place = F.col(own[df.columns.index(id_column)]).cast("bigint")
+    stays = (F.col("n") == 0) | (F.col("component_id") == place)
+    kept = (
+        rows.join(joined.classes.select("class", "root", "component_id"), "class", "left")
+        .where(stays)
+        .withColumn("root", F.coalesce("root", "class"))
+        .dropDuplicates([own[df.columns.index(id_column)], "root"])
+    )
+    return kept.select(*(F.col(c).alias(name) for c, name in zip(own, df.columns, strict=True)))

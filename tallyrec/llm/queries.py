@@ -55,7 +55,8 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of five-word shingles link at 0.8."""
-    return jaccard.jaccard_join(_table(spark, sf_dir, "documents"), "doc_id", "text").documents()
+    joined = jaccard.jaccard_join(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return joined.documents().drop("root")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,20 +25,8 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-class _Powers:
-    """Powers of the base and of its inverse, as many as the longest text needs."""
-
-    def __init__(self) -> None:
-        self.up = _powers(_BASE, _CHUNK)
-        self.down = _powers(_INVERSE, _CHUNK)
-
-    def at_least(self, n: int) -> None:
-        if n > len(self.up):
-            self.up = _powers(_BASE, 1 << (n - 1).bit_length())
-            self.down = _powers(_INVERSE, 1 << (n - 1).bit_length())
-
-
-_POWERS = _Powers()
+_UP = _powers(_BASE, _CHUNK + 1)
+_DOWN = _powers(_INVERSE, _CHUNK + 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -48,23 +36,52 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of each word, in order."""
-    data = _LOWER[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
+def _hashes_of(data: np.ndarray, blank: np.ndarray) -> np.ndarray:
+    """Hashes of the words of at most ``_CHUNK`` bytes."""
     n = len(data)
-    if n == 0:
-        return np.empty(0, dtype=np.uint64)
-    blank = _BLANK[data]
     edge = np.flatnonzero(np.diff(blank.view(np.int8), prepend=1, append=1))
     starts, stops = edge[0::2], edge[1::2]
-    _POWERS.at_least(n + 1)
     sums = np.empty(n + 1, dtype=np.uint64)
     sums[0] = 0
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _POWERS.up[:n], out=sums[1:])
-    value = (sums[stops] - sums[starts]) * _POWERS.down[starts]
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _UP[:n], out=sums[1:])
+    value = (sums[stops] - sums[starts]) * _DOWN[starts]
     return mix(value + (stops - starts).astype(np.uint64) * _WORD)
 
 
+def _hash_of_long(word: np.ndarray) -> np.ndarray:
+    """The hash of one word, summed up chunk by chunk."""
+    total = np.zeros(1, dtype=np.uint64)
+    shift = np.ones(1, dtype=np.uint64)
+    for at in range(0, len(word), _CHUNK):
+        part = word[at : at + _CHUNK].astype(np.uint64) + np.uint64(1)
+        total += (part * _UP[: len(part)]).sum(dtype=np.uint64) * shift
+        shift *= _UP[_CHUNK]
+    return mix(total + np.array([len(word)], dtype=np.uint64) * _WORD)
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of each word, in order. A long text is cut between words."""
+    data = _LOWER[np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)]
+    blank = _BLANK[data]
+    if len(data) <= _CHUNK:
+        return _hashes_of(data, blank) if len(data) else np.empty(0, dtype=np.uint64)
+    found, at = [], 0
+    while at < len(data):
+        stop = at + _CHUNK
+        if stop < len(data):
+            cuts = np.flatnonzero(blank[at:stop])
+            if not len(cuts):  # one word from here to beyond the chunk
+                after = blank[stop:]
+                stop += int(after.argmax()) if after.any() else len(after)
+                found.append(_hash_of_long(data[at:stop]))
+                at = stop
+                continue
+            stop = at + int(cuts[-1]) + 1
+        found.append(_hashes_of(data[at:stop], blank[at:stop]))
+        at = stop
+    return np.concatenate(found)
+
+
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the shingles; the whole sequence if it is shorter."""
     hashes = word_hashes(text) if text else np.empty(0, dtype=np.uint64)

@@ -99,6 +99,59 @@ def test_repeated_rows_and_empty_table(spark, documents):
     assert one_of_each(empty, "doc_id", "text").count() == 0
 
 
+def test_repeated_ids_with_unlike_texts(spark, documents):
+    a, b = "a b c d e f g", "p q r s t u v"
+    rows = [(1, a), (1, b), (2, b), (3, a), (None, a), (None, a), (4, "x"), (4, None), (4, ""), (5, "lone"), (5, "alone")]
+    found = jaccard_join(documents(rows), "doc_id", "text").documents().collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in found) == [
+        (0, 1), (0, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (4, 4), (5, 5), (5, 5)]
+    kept = sorted(((r["doc_id"] or 0, r["text"] or "") for r in one_of_each(documents(rows), "doc_id", "text").collect()))
+    assert kept == [(0, a), (0, a), (1, a), (1, b), (4, ""), (4, "x"), (5, "alone"), (5, "lone")]
+
+
+def test_rows_without_id_link_others(spark, documents):
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(words), " ".join(["x", *words[1:]]), " ".join(["x", *words[1:-1], "y"])]
+    assert 100 * len(shingles(texts[0]) & shingles(texts[2])) >= 80 * len(shingles(texts[0]) | shingles(texts[2]))
+    texts[2] = " ".join(["x", *words[1:-4], "y", "z", "z", "z"])
+    assert 100 * len(shingles(texts[0]) & shingles(texts[2])) < 80 * len(shingles(texts[0]) | shingles(texts[2]))
+    rows = [(3, texts[0]), (None, texts[1]), (8, texts[2])]
+    found = jaccard_join(documents(rows), "doc_id", "text").documents().collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {3: 3, None: 3, 8: 3}
+
+
+def test_two_of_each_list():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        lists = rng.integers(0, 12, 60)
+        # classes that agree in all but their lowest or highest bits
+        of_class = rng.choice(np.array([7, 6, 7 | 1 << 62, -(1 << 63)]), 60)
+        at = jaccard._two_of_each(lists, of_class)
+        assert (np.diff(lists[at]) >= 0).all()
+        for x in np.unique(lists):
+            kept = of_class[at[lists[at] == x]].tolist()
+            assert len(kept) == len(set(kept)) == min(2, len(set(of_class[lists == x].tolist())))
+
+
+def test_long_texts_are_hashed_in_chunks(monkeypatch):
+    import numpy as np
+
+    from tallyrec.llm import shingles as module
+
+    rng = random.Random(6)
+    whole = module.word_hashes
+    texts = [" ".join("".join(rng.choices("abÉ漢", k=rng.choice([1, 3, 30, 90]))) for _ in range(40)) for _ in range(30)]
+    texts += ["x" * 1000, " " * 500, "a" * 64, "a" * 65 + " ", " " + "b" * 63 + " c" * 70]
+    want = [whole(t) for t in texts]
+    monkeypatch.setattr(module, "_CHUNK", 32)
+    monkeypatch.setattr(module, "_UP", module._UP[:33])
+    for text, hashes in zip(texts, want, strict=True):
+        assert whole(text).tolist() == hashes.tolist()
+    assert len(np.unique(np.concatenate(want))) == len({w for t in texts for w in t.split()})
+
+
 def test_light_sets_write_subsets_heavy_ones_lists():
     import numpy as np
 
