@@ -69,3 +69,14 @@ class SearchParams:
     hashes: int = 2
     width: float = 0.5
     seed: int = 10
+
+
+@dataclass(frozen=True)
+class ForestParams:
+    """Approximate inner-product search: ``trees`` hyperplane trees whose leaves hold about
+    ``leaf_items`` items, of which a query looks at about ``search_items`` over all trees."""
+
+    trees: int = 10
+    search_items: int = 1000
+    leaf_items: int = 16
+    seed: int = 10

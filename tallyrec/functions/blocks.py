@@ -28,7 +28,10 @@ def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
 
 
 def top_products(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    """The ``k`` best items of every query of one block pair; ties to the smaller id."""
+    """The ``k`` best items of every query of one block pair; ties to the smaller id.
+
+    Where the queries have a column ``least``, scores below it are left out.
+    """
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if left.num_rows and right.num_rows:
         query_ids = left["query_id"].to_numpy()
@@ -36,12 +39,16 @@ def top_products(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
         items = _matrix(right["features"], right.num_rows).T
         vectors = _matrix(left["features"], left.num_rows)
         seen = left["seen"].to_pylist() if "seen" in left.column_names else None
+        least = left["least"].to_numpy() if "least" in left.column_names else None
         step = max(1, SLAB_CELLS // right.num_rows)
         for start in range(0, left.num_rows, step):
             scores = vectors[start : start + step] @ items
             if seen:
                 _mask(scores, seen[start : start + step], item_ids)
             row, col, score = _row_tops(scores, item_ids, k)
+            if least is not None:
+                able = ~(score < least[start + row])  # no threshold is not a number
+                row, col, score = row[able], col[able], score[able]
             found.append((query_ids[start + row], item_ids[col], score))
     merged = [np.concatenate(c) for c in zip(*found)] if found else [[], [], []]
     types = {"query_id": pa.int64(), "item_id": pa.int64(), "score": pa.float64()}

@@ -80,14 +80,14 @@ def name_items(lists: DataFrame, tracks: DataFrame) -> DataFrame:
     )
 
 
-def rank_items(scored: DataFrame, score: str) -> DataFrame:
-    """(rank, item_id, score) of all items, best first, ties to the smaller item.
+def rank_items(scored: DataFrame, score: str, more: Sequence[str] = ()) -> DataFrame:
+    """(rank, item_id, score, more..) of all items, best first, ties to the smaller item.
 
     Range partitions are ranked apart and shifted by the rows before them, one number
     per partition; no task sorts all items.
     """
     order = [F.desc(score), F.asc("item_id")]
-    dealt = scored.select("item_id", score).repartitionByRange(*order)
+    dealt = scored.select("item_id", score, *more).repartitionByRange(*order)
     # stored, so that a row's partition is the same wherever it is read
     dealt = materialise(dealt.withColumn("_part", F.spark_partition_id()), "ranked-items")
     totals = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
@@ -101,42 +101,74 @@ def rank_items(scored: DataFrame, score: str) -> DataFrame:
             (F.col("_pos") + F.col("_shift")).alias("rank"),
             "item_id",
             F.col(score).cast("double").alias("score"),
+            *more,
         )
     )
 
 
-def unseen_lists(ranked: DataFrame, train: DataFrame, k: int = 100) -> DataFrame:
+#: Global ranks of a slice within which one task numbers a user's items, and the ranks every task is told.
+SLICE_RANKS = 1 << 18
+HEAD_RANKS = 100_000
+
+
+def unseen_lists(
+    ranked: DataFrame,
+    train: DataFrame,
+    k: int = 100,
+    slice_ranks: int = SLICE_RANKS,
+    head_ranks: int = HEAD_RANKS,
+) -> DataFrame:
     """(user_id, rank, item_id, score): every user's ``k`` best items not yet had.
 
     ``ranked`` is :func:`rank_items`. If a user's seen items stand at global ranks
     r1 < r2 < ..., the p-th unseen item stands at p plus the number of j with
     r_j - j < p; so only seen items near the top matter, and the lists are whole
-    (k rows, or all unseen items if there are fewer).
+    (k rows, or all unseen items if there are fewer). Seen items with equal r_j - j are a run without
+    gaps and one row with their number, so a user has at most k such rows, however many items. They
+    are numbered slice by slice of the global ranks, so no task sorts all items of a hot user.
     """
-    ranks = materialise(ranked, "global-ranks")
-    seen = train.select("user_id", "item_id").distinct().join(ranks.select("item_id", "rank"), "item_id")
-    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("rank"))
-    before = seen.select("user_id", (F.col("rank") - nth).alias("unseen_before")).where(
-        F.col("unseen_before") < k
-    )
-    skips = before.groupBy("user_id").agg(F.collect_list("unseen_before").alias("_skips"))
+    ranks = materialise(ranked.select(F.col("rank").cast("bigint").alias("rank"), "item_id", "score"), "global-ranks")
+    skips = _runs_of_seen(ranks, train, k, slice_ranks)
     users = train.select("user_id").where("user_id is not null").distinct()
     wanted = users.join(skips, "user_id", "left").select(
         "user_id",
-        F.coalesce("_skips", F.array().cast("array<bigint>")).alias("_skips"),
+        F.coalesce("_skips", F.array().cast("array<struct<unseen_before:bigint,n:bigint>>")).alias("_skips"),
         F.explode(F.sequence(F.lit(1), F.lit(k))).alias("place"),
     )
-    at = F.col("place") + F.size(F.filter("_skips", lambda x: x < F.col("place")))
-    return wanted.select("user_id", "place", at.cast("bigint").alias("_at")).join(
-        ranks.withColumnRenamed("rank", "_at").withColumn("_at", F.col("_at").cast("bigint")), "_at"
-    ).select("user_id", F.col("place").alias("rank"), "item_id", "score")
-
-
-def without_seen(lists: DataFrame, train: DataFrame) -> DataFrame:
-    """Given per-user lists less the items the user has, ranks closed up.
-
-    Lists that were cut before come out shorter; :func:`unseen_lists` makes whole ones.
-    """
-    unseen = lists.join(train, ["user_id", "item_id"], "left_anti")
-    again = Window.partitionBy("user_id").orderBy("rank")
-    return unseen.withColumn("rank", F.row_number().over(again))
+    before = F.filter("_skips", lambda x: x["unseen_before"] < F.col("place"))
+    at = F.col("place") + F.aggregate(before, F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
+    wanted = wanted.select("user_id", "place", at.alias("_at"))
+    of_rank = ranks.withColumnRenamed("rank", "_at")
+    # nearly all places are near the top: told to every task; what is deeper is spread over many ranks
+    top, deep = F.col("_at") <= head_ranks, F.col("_at") > head_ranks
+    found = wanted.where(top).join(F.broadcast(of_rank.where(top)), "_at")
+    found = found.unionByName(wanted.where(deep).join(of_rank.where(deep), "_at"))
+    return found.select("user_id", F.col("place").alias("rank"), "item_id", "score")
+
+
+def _runs_of_seen(ranks: DataFrame, train: DataFrame, k: int, slice_ranks: int) -> DataFrame:
+    """(user_id, _skips): how many seen items have how many unseen ones (fewer than ``k``) before them."""
+    seen = (
+        train.where("user_id is not null")
+        .select("user_id", "item_id")
+        .distinct()
+        .join(ranks.select("item_id", "rank"), "item_id")
+        .select("user_id", "rank", F.floor(F.col("rank") / F.lit(slice_ranks)).alias("_slice"))
+    )
+    seen = materialise(seen, "seen-ranks")
+    lower = Window.partitionBy("user_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (
+        seen.groupBy("user_id", "_slice")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("user_id", "_slice", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_shift"))
+    )
+    local = F.row_number().over(Window.partitionBy("user_id", "_slice").orderBy("rank"))
+    numbered = seen.withColumn("_pos", local).join(shifts, ["user_id", "_slice"])
+    return (
+        numbered.select("user_id", (F.col("rank") - F.col("_pos") - F.col("_shift")).alias("unseen_before"))
+        .where(F.col("unseen_before") < k)
+        .groupBy("user_id", "unseen_before")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("user_id")
+        .agg(F.collect_list(F.struct("unseen_before", "n")).alias("_skips"))
+    )

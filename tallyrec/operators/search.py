@@ -25,6 +25,7 @@ from tallyrec.sources.stage import materialise
 # dimensions. Each side is sent once per block of the other, and each query
 # returns k rows per item block, so larger blocks shuffle less.
 BLOCK_ROWS = 100_000
+SCORED = blocks.SCORED
 _TASKS_PER_CORE = 4
 _MIN_QUERIES = 250  # fewer queries per task than this are not worth a task
 
@@ -44,25 +45,25 @@ def exact_topk(
     Scores every pair, so the work grows with queries x items: this is the truth
     that :func:`lsh_topk` is judged against, not the way to search a large table.
     """
-    queries, items = _checked(queries, items)
+    queries, items = checked_sides(queries, items)
     n_queries, n_items = queries.count(), items.count()
     i_parts = max(1, math.ceil(n_items / block_rows))
     # small searches still use every core: cut the queries, the items stay whole
-    wanted = math.ceil(_slots(queries) / i_parts)
+    wanted = math.ceil(task_slots(queries) / i_parts)
     q_parts = max(
         1, math.ceil(n_queries / block_rows), min(wanted, math.ceil(n_queries / _MIN_QUERIES))
     )
     q = queries.select(
         "query_id", "features", *(["seen"] if "seen" in queries.columns else []),
-        _part("query_id", F.lit(q_parts)).alias("_q"),
+        number_part("query_id", F.lit(q_parts)).alias("_q"),
         _each(F.lit(i_parts)).alias("_i"),
     )
     i = items.select(
-        "item_id", "features", _part("item_id", F.lit(i_parts)).alias("_i"),
+        "item_id", "features", number_part("item_id", F.lit(i_parts)).alias("_i"),
         _each(F.lit(q_parts)).alias("_q"),
     )
-    scored = _score_blocks(q, i, ["_q", "_i"], k, q_parts * i_parts)
-    return _best(scored, k)
+    scored = score_blocks(q, i, ["_q", "_i"], k, q_parts * i_parts)
+    return best_lists(scored, k)
 
 
 def lsh_topk(
@@ -89,16 +90,16 @@ def search_buckets(
     bucket = ["table", "bucket"]
     q_parts, i_parts = (F.coalesce(c, F.lit(1)) for c in ("_q_parts", "_i_parts"))
     q = q.join(hot, bucket, "left").select(
-        *bucket, "query_id", "features", _part("query_id", q_parts).alias("_q"),
+        *bucket, "query_id", "features", number_part("query_id", q_parts).alias("_q"),
         _each(i_parts).alias("_i"),
     )
     i = i.join(hot, bucket, "left").select(
-        *bucket, "item_id", "features", _part("item_id", i_parts).alias("_i"),
+        *bucket, "item_id", "features", number_part("item_id", i_parts).alias("_i"),
         _each(q_parts).alias("_q"),
     )
-    scored = _score_blocks(q, i, [*bucket, "_q", "_i"], k, _slots(q))
+    scored = score_blocks(q, i, [*bucket, "_q", "_i"], k, task_slots(q))
     # the same pair can meet in several tables
-    return _best(scored.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k)
+    return best_lists(scored.groupBy("query_id", "item_id").agg(F.max("score").alias("score")), k)
 
 
 def hash_vectors(
@@ -109,7 +110,7 @@ def hash_vectors(
     One extra coordinate lifts every item to the same norm and is 0 in queries,
     so that the nearest items of a query are those with the largest product.
     """
-    queries, items = _checked(queries, items)
+    queries, items = checked_sides(queries, items)
     norm2 = F.aggregate("features", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
     longest = items.agg(F.max(F.sqrt(norm2))).first()[0]
     scale = F.lit(longest or 1.0)
@@ -153,7 +154,7 @@ def recall_of(exact: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def _checked(queries: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+def checked_sides(queries: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Both sides with vectors that are whole, finite and of one length, or an error."""
     require_columns(queries, ["query_id", "features"], "search: queries")
     require_columns(items, ["item_id", "features"], "search: items")
@@ -175,7 +176,7 @@ def _sound(side: DataFrame, length: int | None) -> DataFrame:
     )
 
 
-def _part(key: str, parts: Column) -> Column:
+def number_part(key: str, parts: Column) -> Column:
     return F.pmod(F.xxhash64(key), parts.cast("bigint"))
 
 
@@ -216,7 +217,7 @@ def _hot_buckets(q: DataFrame, i: DataFrame, block_rows: int) -> DataFrame:
     return large(q, "_q_parts").join(large(i, "_i_parts"), ["table", "bucket"], "full")
 
 
-def _slots(df: DataFrame) -> int:
+def task_slots(df: DataFrame) -> int:
     """Tasks worth having: by the cores seen now, or the session's shuffle width if larger.
 
     With dynamic allocation few cores may be up when the plan is built.
@@ -225,17 +226,17 @@ def _slots(df: DataFrame) -> int:
     return max(_TASKS_PER_CORE * cores, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _score_blocks(q: DataFrame, i: DataFrame, cell: list[str], k: int, cells: int) -> DataFrame:
+def score_blocks(q: DataFrame, i: DataFrame, cell: list[str], k: int, cells: int) -> DataFrame:
     """The best ``k`` items of every query within each cell.
 
     The number of tasks is fixed because their work is in the products, not in
     the bytes that adaptive execution would merge small partitions by.
     """
-    tasks = min(cells, _slots(q))
+    tasks = min(cells, task_slots(q))
     sides = [side.repartition(tasks, *cell).groupBy(*cell) for side in (q, i)]
     return sides[0].cogroup(sides[1]).applyInArrow(blocks.scorer(k), blocks.SCORED)
 
 
-def _best(scored: DataFrame, k: int) -> DataFrame:
+def best_lists(scored: DataFrame, k: int) -> DataFrame:
     ranked = top_per_group(scored, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
     return ranked.select("query_id", "rank", "item_id", "score")

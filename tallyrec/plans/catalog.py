@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyrec.config import AlsGrid, AlsParams, SearchParams, SplitParams, VoteParams
+from tallyrec.config import AlsGrid, AlsParams, ForestParams, SearchParams, SplitParams, VoteParams
 from tallyrec.functions.keys import normalised_key
 from tallyrec.functions.lists import as_doubles, from_array, head_of, to_arrays
 from tallyrec.operators import ids
@@ -19,8 +19,10 @@ from tallyrec.operators.factors import (
     item_factors,
     recommend,
     recommend_builtin,
+    staged_factors,
     user_factors,
 )
+from tallyrec.operators.forest import plant
 from tallyrec.operators.interactions import (
     active_users,
     activity_profile,
@@ -39,6 +41,7 @@ from tallyrec.operators.popularity import (
     rank_items,
     unseen_lists,
 )
+from tallyrec.operators.pruned import pruned_topk
 from tallyrec.operators.ranking import ground_truth
 from tallyrec.operators.search import (
     exact_topk,
@@ -64,6 +67,9 @@ UNSEEN_LIST = 20
 FRACTIONS = (0.1, 0.25, 0.5, 1.0)
 EVENTS_LIST = 10  # the events log has only 100 items
 BETAS = VoteParams().betas
+#: Published settings of the forest: ten and twenty trees, 100 and 500 items looked at per tree.
+FORESTS = tuple(ForestParams(t, 100 * t * m) for t in (10, 20) for m in (1, 5))
+PRUNED_BLOCK = 64
 SEARCHES = (
     SearchParams(tables=10, hashes=4, width=0.5),
     SearchParams(tables=20, hashes=4, width=0.5),
@@ -515,6 +521,11 @@ def als_list_faults(spark, sf_dir):
     lists = materialise(recommend(fit, 100), "als-lists")
     users = user_factors(fit).withColumnRenamed("features", "u")
     items = item_factors(fit).withColumnRenamed("features", "v")
+    return _longs(_list_faults(lists, users, items))
+
+
+def _list_faults(lists: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """users, rows, repeats, order_faults and score_faults of ``lists``; vectors ``u`` by user_id, ``v`` by item_id."""
     product = F.aggregate(
         F.zip_with("u", "v", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x
     )
@@ -526,14 +537,12 @@ def als_list_faults(spark, sf_dir):
         F.count_if(F.col("score") > F.col("_before")).alias("order_faults"),
         F.count_if(F.abs(F.col("score") - product) > 1e-6 * F.abs(product) + 1e-12).alias("score_faults"),
     )
-    return _longs(
-        per_user.agg(
-            F.count(F.lit(1)).alias("users"),
-            F.sum("rows").alias("rows"),
-            F.sum(F.col("rows") - F.col("different")).alias("repeats"),
-            F.sum("order_faults").alias("order_faults"),
-            F.sum("score_faults").alias("score_faults"),
-        )
+    return per_user.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.sum("rows").alias("rows"),
+        F.sum(F.col("rows") - F.col("different")).alias("repeats"),
+        F.sum("order_faults").alias("order_faults"),
+        F.sum("score_faults").alias("score_faults"),
     )
 
 
@@ -684,3 +693,86 @@ def lsh_map_scores(spark, sf_dir):
     """Accuracy of hashed search over fitted factors, on train, val and test."""
     splits = prepare_splits(fixtures.events_interactions(spark, sf_dir))
     return lsh_map(splits, AlsParams(rank=8, reg=0.1, max_iter=3), SEARCHES, EVENTS_LIST)
+
+
+@_query
+def pruned_topk_search(spark, sf_dir):
+    """The rows of the exact search, from items in blocks of falling norm."""
+    found = pruned_topk(*_vectors(spark, sf_dir), 10, block_items=PRUNED_BLOCK).lists
+    return _longs(found.withColumn("score", F.round("score", 6)))
+
+
+def _orders_factors(spark, sf_dir, rank: int) -> tuple[DataFrame, DataFrame]:
+    splits = prepare_splits(fixtures.orders_interactions(spark, sf_dir))
+    return staged_factors(fit_als(als_input(_train(splits)), AlsParams(rank=rank, reg=0.1, max_iter=3)))
+
+
+@_query
+def als_pruned_search(spark, sf_dir):
+    """The best half percent of the items by bound-pruned search over fitted factors, against the exact
+    search: rows that differ, and whether half of the pairs was saved."""
+    rows = []
+    for rank in (1, 4):
+        users, items = _orders_factors(spark, sf_dir, rank)
+        k = max(1, items.count() // 200)
+        exact = materialise(exact_topk(users, items, k), "exact")
+        pruned = pruned_topk(users, items, k, block_items=max(1, items.count() // PRUNED_BLOCK))
+        off = exact.exceptAll(pruned.lists).unionByName(pruned.lists.exceptAll(exact))
+        rows.append(
+            exact.agg(F.count_distinct("query_id").alias("users"), F.count(F.lit(1)).alias("rows"))
+            .crossJoin(off.agg(F.count(F.lit(1)).alias("different_rows")))  # one row each
+            .select(
+                F.lit(rank).alias("factors"), "users", "rows", "different_rows",
+                F.lit(2 * pruned.scored_pairs <= pruned.all_pairs).alias("half_saved"),
+                F.lit(2 * pruned.met_blocks <= pruned.all_blocks).alias("half_skipped"),
+            )
+        )
+    return _longs(ids.union_all(rows))
+
+
+@_query
+def als_forest_faults(spark, sf_dir):
+    """Faults of lists found by forests over fitted factors, and whether a quarter of all pairs gives a recall of 0.9."""
+    users, items = _orders_factors(spark, sf_dir, 4)
+    n_users, n_items = users.count(), items.count()
+    k = max(1, n_items // 200)
+    exact = materialise(exact_topk(users, items, k), "exact")
+    u = users.select(F.col("query_id").alias("user_id"), F.col("features").alias("u"))
+    v = items.withColumnRenamed("features", "v")
+    rows = []
+    for trees in (4, 10):
+        planted = plant(users, items, ForestParams(trees, max(trees, n_items // 4), leaf_items=8))
+        lists = materialise(search_buckets(*planted, k), "forest-lists")
+        share = scored_share(*planted, n_users, n_items).scalar()
+        rows.append(
+            _list_faults(lists.withColumnRenamed("query_id", "user_id"), u, v).select(
+                F.lit(trees).alias("trees"), "users", "repeats", "order_faults", "score_faults",
+                (recall_of(exact, lists).scalar() >= 0.9).alias("recall_90"), (share < 0.5).alias("half_saved"),
+            )
+        )
+    return _longs(ids.union_all(rows))
+
+
+@_query
+def als_forest_recall(spark, sf_dir):
+    """Recall of the true hundred best against the share of pairs scored, at the published settings."""
+    users, items = _orders_factors(spark, sf_dir, 4)
+    exact = materialise(exact_topk(users, items, 100), "exact")
+    n_users, n_items = users.count(), items.count()
+    rows = []
+    for params in FORESTS:
+        planted = plant(users, items, params)
+        rows.append(
+            recall_of(exact, search_buckets(*planted, 100)).select(
+                F.lit(params.trees).alias("trees"), F.lit(params.search_items).alias("search_items"), "recall",
+                scored_share(*planted, n_users, n_items).scalar().alias("scored_share"),
+            )
+        )
+    return ids.union_all(rows)
+
+
+@_query
+def als_forest_map_scores(spark, sf_dir):
+    """Accuracy of forest search over fitted factors, on train, val and test, at the published settings."""
+    splits = prepare_splits(fixtures.events_interactions(spark, sf_dir))
+    return lsh_map(splits, AlsParams(rank=8, reg=0.1, max_iter=3), FORESTS, EVENTS_LIST)

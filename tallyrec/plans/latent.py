@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.config import AlsGrid, AlsParams, SearchParams
+from tallyrec.config import AlsGrid, AlsParams, ForestParams, SearchParams
 from tallyrec.operators.factors import (
     AlsInput,
     als_input,
@@ -19,6 +19,7 @@ from tallyrec.operators.factors import (
     release,
     user_factors,
 )
+from tallyrec.operators.forest import forest_topk
 from tallyrec.operators.metrics import evaluate
 from tallyrec.operators.ranking import ground_truth
 from tallyrec.operators.search import lsh_topk
@@ -119,16 +120,28 @@ def als_size_sweep(
     return reduce(DataFrame.unionByName, rows)
 
 
-def search_label(search: SearchParams) -> str:
+Search = SearchParams | ForestParams
+
+
+def search_label(search: Search) -> str:
+    if isinstance(search, ForestParams):
+        return f"{search.trees}t@{search.search_items}"
     return f"{search.tables}x{search.hashes}@{search.width}"
 
 
+def approximate_topk(queries: DataFrame, items: DataFrame, k: int, search: Search) -> DataFrame:
+    """(query_id, rank, item_id, score) by hash tables or by a forest of trees."""
+    if isinstance(search, ForestParams):
+        return forest_topk(queries, items, k, search)
+    return lsh_topk(queries, items, k, search)
+
+
 def searched_lists(
-    users: DataFrame, items: DataFrame, searches: Sequence[SearchParams], k: int
+    users: DataFrame, items: DataFrame, searches: Sequence[Search], k: int
 ) -> DataFrame:
-    """(search, user_id, rank, item_id, score) of hashed search over stored factors."""
+    """(search, user_id, rank, item_id, score) of approximate search over stored factors."""
     found = [
-        lsh_topk(users.withColumnRenamed("user_id", "query_id"), items, k, s).select(
+        approximate_topk(users.withColumnRenamed("user_id", "query_id"), items, k, s).select(
             F.lit(search_label(s)).alias("search"),
             F.col("query_id").alias("user_id"),
             "rank", "item_id", "score",
@@ -139,7 +152,7 @@ def searched_lists(
 
 
 def search_scores(
-    truth: DataFrame, lists: DataFrame, searches: Sequence[SearchParams], list_size: int = 100
+    truth: DataFrame, lists: DataFrame, searches: Sequence[Search], list_size: int = 100
 ) -> DataFrame:
     """(split, search, users, map, map_hit_norm) of every search setting."""
     return evaluate(
@@ -151,10 +164,10 @@ def search_scores(
 def lsh_map(
     splits: DataFrame,
     params: AlsParams,
-    searches: Sequence[SearchParams],
+    searches: Sequence[Search],
     list_size: int = 100,
 ) -> DataFrame:
-    """Accuracy of lists found by hashed search over the factors of one fit."""
+    """Accuracy of lists found by approximate search over the factors of one fit."""
     fit = fit_als(als_input(_train(splits)), params)
     users = materialise(user_factors(fit), "user-factors")
     items = materialise(item_factors(fit), "item-factors")

@@ -253,6 +253,16 @@ encoded AS (
   FROM keyed_log LEFT JOIN items USING (recording_msid) LEFT JOIN u USING (user_id))"""
 
 
+#: Ten best products of every vector with all of them.
+_ALL_PRODUCTS = """WITH pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS item_id,
+         list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
+  FROM embeddings a CROSS JOIN embeddings b)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, item_id) AS rank, item_id,
+       round(s, 6) AS score
+FROM pairs QUALIFY rank <= 10"""
+
+
 def all_oracles() -> dict[str, str]:
     at_orders, at_events = (10, 100), (1, 5, 10)
     return {
@@ -320,6 +330,17 @@ SELECT count(DISTINCT user_id) AS users,
        count(DISTINCT user_id) * least(100, count(DISTINCT item_id)) AS rows,
        CAST(0 AS BIGINT) AS repeats, CAST(0 AS BIGINT) AS order_faults, CAST(0 AS BIGINT) AS score_faults
 FROM train""",
+        "als_pruned_search": f"""WITH {_splits(ORDERS)},
+train AS (SELECT DISTINCT user_id, item_id FROM splits WHERE split = 'train'),
+size AS (SELECT count(DISTINCT user_id) AS users, greatest(1, count(DISTINCT item_id) // 200) AS k FROM train)
+SELECT f.factors, users, users * k AS rows, CAST(0 AS BIGINT) AS different_rows,
+       true AS half_saved, true AS half_skipped
+FROM size CROSS JOIN (VALUES (CAST(1 AS BIGINT)), (4)) AS f(factors)""",
+        "als_forest_faults": f"""WITH {_splits(ORDERS)},
+size AS (SELECT count(DISTINCT user_id) AS users FROM splits WHERE split = 'train')
+SELECT t.trees, users, CAST(0 AS BIGINT) AS repeats, CAST(0 AS BIGINT) AS order_faults,
+       CAST(0 AS BIGINT) AS score_faults, true AS recall_90, true AS half_saved
+FROM size CROSS JOIN (VALUES (CAST(4 AS BIGINT)), (10)) AS t(trees)""",
         "als_fit_faults": f"""WITH {_splits(ORDERS)}
 SELECT count(DISTINCT user_id) AS users, CAST(0 AS BIGINT) AS off FROM splits WHERE split = 'train'""",
         "als_unseen": f"""WITH {_splits(ORDERS)},
@@ -398,11 +419,6 @@ counts AS (SELECT user_id, item_id, count(*) AS n FROM log GROUP BY user_id, ite
 SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, item_id) AS rank, item_id,
        CAST(n AS DOUBLE) AS score
 FROM counts QUALIFY rank <= 100""",
-        "exact_topk_search": """WITH pairs AS (
-  SELECT a.vec_id AS query_id, b.vec_id AS item_id,
-         list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s
-  FROM embeddings a CROSS JOIN embeddings b)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, item_id) AS rank, item_id,
-       round(s, 6) AS score
-FROM pairs QUALIFY rank <= 10""",
+        "exact_topk_search": _ALL_PRODUCTS,
+        "pruned_topk_search": _ALL_PRODUCTS,
     }

@@ -1,3 +1,5 @@
+import random
+
 from tallyrec.operators.popularity import (
     active_items,
     damped_vote_lists,
@@ -5,7 +7,6 @@ from tallyrec.operators.popularity import (
     item_popularity,
     rank_items,
     unseen_lists,
-    without_seen,
 )
 from tallyrec.operators.ranking import ground_truth
 
@@ -41,12 +42,22 @@ def test_ground_truth_is_ranked_without_gaps(spark):
     assert [(r.rank, r.item_id) for r in got] == [(1, 2), (2, 5), (3, 8), (4, 1)]
 
 
-def test_seen_items_are_removed_and_ranks_close_up(spark):
-    lists = spark.createDataFrame(
-        [(1, 1, 10), (1, 2, 20), (1, 3, 30)], "user_id long, rank int, item_id long"
-    )
-    left = without_seen(lists, spark.createDataFrame([(1, 20, 1)], COUNTS)).collect()
-    assert sorted((r.rank, r.item_id) for r in left) == [(1, 10), (2, 30)]
+def test_unseen_lists_of_a_user_with_most_pairs(spark):
+    rng = random.Random(4)
+    rows = [(u, i) for u in range(30) for i in rng.sample(range(300), 8)]
+    rows += [(77, i) for i in range(300) if i % 41] + [(78, i) for i in range(300)]
+    df = spark.createDataFrame([(u, i, 1) for u, i in sorted(set(rows))], COUNTS)
+    ranked = rank_items(item_popularity(df), "users")
+    order = [r.item_id for r in ranked.orderBy("rank").collect()]
+    for slices, head in ((16, 10), (7, 0), (1000, 1000)):
+        got = {}
+        for r in unseen_lists(ranked, df, 12, slices, head).orderBy("user_id", "rank").collect():
+            got.setdefault(r.user_id, []).append(r.item_id)
+            assert r.rank == len(got[r.user_id])
+        had = {}
+        for u, i in rows:
+            had.setdefault(u, set()).add(i)
+        assert got == {u: want for u, own in had.items() if (want := [i for i in order if i not in own][:12])}
 
 
 def test_unseen_lists_are_whole(spark):
