@@ -66,7 +66,7 @@ MARKS = frozenset(
     "social related recommended newsletter subscribe subscription popup modal overlay login search "
     "contentinfo complementary pagination".split()
 )
-#: Marks that say for sure what an element is; the others are void in front of long cluster lines.
+#: Marks that say for sure what an element is, if they are its whole name.
 FIRM = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies "
     "consent gdpr nav navbar navigation breadcrumb breadcrumbs comment comments disqus respond replies "
@@ -81,10 +81,14 @@ COMPOUNDS = frozenset(
     "nav-menu site-header site-footer search-form login-form".split()
 )
 _SURE = FIRM | COMPOUNDS
-UNMARKED = frozenset(("body", "html", "article", "main"))
+#: Words that mark an element of an article as the first or last part of a name.
+PARTS = FIRM | {"sidebar"}
+#: Words of names that say what a page has or how it is set, and mark nothing.
+STATES = frozenset("no has with without open closed enabled disabled".split())
+UNMARKED = frozenset(("body", "html", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Characters of a line that voids a mark: about a sentence.
-SENTENCE = 80
+#: Elements whose id is a place in the text more often than a name.
+ANCHORS = frozenset(("section", "p", "article"))
 _CLOSES_P = BLOCKS - {"body", "html", "head"}
 
 
@@ -119,7 +123,14 @@ def _names(value: str | None) -> list[str]:
 
 def _marking(tag: str) -> tuple[str, ...]:
     """Attributes by which an element can be marked."""
-    return () if tag in UNMARKED else ("class", "role") if tag in HEADINGS else ("class", "id", "role")
+    if tag in UNMARKED:
+        return ()
+    return ("class", "role") if tag in HEADINGS or tag == "article" else ("class", "id", "role")
+
+
+def _is_part(name: str) -> bool:
+    parts = name.split("-")
+    return (parts[0] in PARTS or parts[-1] in PARTS) and STATES.isdisjoint(parts)
 
 
 @dataclass
@@ -159,14 +170,29 @@ class PageLines(HTMLParser):
                 return True
             if name == "role" and not MARKS.isdisjoint(_names(value)) and tag not in UNMARKED:
                 return True
-            if name in _marking(tag) and not _SURE.isdisjoint(_names(value)):
+            if name in _marking(tag) and tag != "article" and not _SURE.isdisjoint(_names(value)):
                 return True
         return False
 
     def _is_marked(self, tag: str, attrs: list[tuple[str, str | None]], region: int) -> bool:
-        """Whether class, id or role may mark an excluded element: inside an article by whole names only."""
-        read = _names if region else _words
-        return any(name in _marking(tag) and not MARKS.isdisjoint(read(value)) for name, value in attrs)
+        """Whether class, id or role may mark an excluded element.
+
+        Inside an article, and of an article itself, whole names and the first and last part of names are
+        read; elsewhere every word.
+        """
+        inside = region or tag == "article"
+        for name, value in attrs:
+            if name not in _marking(tag):
+                continue
+            if not inside:
+                if any(w in MARKS for n in _names(value) if STATES.isdisjoint(n.split("-")) for w in n.split("-")):
+                    return True
+                continue
+            known = FIRM if tag == "article" else MARKS
+            anchor = name == "id" and tag in ANCHORS
+            if any(n in known or (not anchor and _is_part(n)) for n in _names(value)):
+                return True
+        return False
 
     def _pop_to(self, at: int) -> None:
         del self.open[at:]
@@ -259,20 +285,21 @@ def _cluster(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _apply_marks(page: PageLines) -> None:
-    """Excludes the lines of marked elements, except where an element holds long cluster lines."""
+    """Excludes the lines of marked elements, except of one that holds most of the page's cluster text."""
     lines = page.lines
     if len(page.marks) == 1:
         return
-    ratios, smooth, cluster = _cluster(lines)
-    high = cluster & (ratios > THRESHOLD * smooth.std())
-    void = {0}
-    for x, h in zip(lines, high, strict=True):
-        at = x.mark
-        while h and at not in void and not x.excluded and len(x.text) >= SENTENCE:
-            void.add(at)
-            at = page.marks[at]
+    _, _, cluster = _cluster(lines)
+    weight = [len(x.text) if c and not x.excluded else 0 for x, c in zip(lines, cluster, strict=True)]
+    if not any(weight):
+        weight = [0 if x.excluded else len(x.text) for x in lines]
+    held = [0] * len(page.marks)
+    for x, w in zip(lines, weight, strict=True):
+        held[x.mark] += w
+    for at in range(len(held) - 1, 0, -1):  # a mark's number is above that of the mark around it
+        held[page.marks[at]] += held[at]
     for x in lines:
-        x.excluded = x.excluded or x.mark not in void
+        x.excluded = x.excluded or 2 * held[x.mark] <= held[0]
 
 
 def content_lines(page: PageLines) -> list[str]:

@@ -70,11 +70,11 @@ def test_the_heavier_article_wins_over_text_outside():
         '<section id="related-work"><p>Part</p></section>',
         '<div class="article-header"><h1>Part</h1></div>',
         '<p class="social-policy banner_text">Part</p>',
-        f'<section class="related"><p>{LONG}</p><p>Part</p></section>',
-        f'<div class="notice"><div id="alert"><p>{LONG}</p><p>Part</p></div></div>',
+        '<section id="comments-on-method"><p>Part</p></section>',
+        '<div class="no-ads has-sidebar"><p>Part</p></div>',
     ],
 )
-def test_slugs_and_long_text_are_no_marks(part):
+def test_slugs_are_no_marks(part):
     assert "Part" in main_text(f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>").split("\n")
 
 
@@ -87,13 +87,44 @@ def test_slugs_and_long_text_are_no_marks(part):
         '<div role="search"><p>Part</p></div>',
         f'<div class="comments"><p>{LONG}</p><p>Part</p></div>',
         f'<div class="ad"><p>{LONG}</p><p>Part</p></div>',
+        f'<section class="related"><p>{LONG}</p><p>Part</p></section>',
+        f'<div class="notice"><div id="alert"><p>{LONG}</p><p>Part</p></div></div>',
+        f'<div class="sidebar"><p>{LONG}</p></div>',
+        # the first or last part of a name
+        '<div class="comment-body"><p>Part</p></div>',
+        f'<div class="user-comments"><p>{LONG}</p></div>',
+        '<div class="ad-box">Part</div>',
+        f'<div id="advert-300"><p>{LONG}</p></div>',
+        f'<div class="sidebar-left"><p>{LONG}</p></div>',
+        '<div id="cookie-message">Part</div>',
+        f'<article class="comment"><p>{LONG}</p></article>',
     ],
 )
-def test_whole_names_are_marks(part):
+def test_names_are_marks(part):
     assert main_text(f"<article><p>{LONG}</p>{part}<p>{LONG}</p></article>") == f"{LONG}\n{LONG}"
 
 
-def test_long_text_voids_a_mark_without_article():
+@pytest.mark.parametrize("part", ['class="sidebar-left"', 'class="cookie-message"', 'id="ad-top"'])
+def test_marks_in_main(part):
+    assert main_text(f"<main><p>{LONG}</p><p>End</p><div {part}><p>{LONG}</p></div></main>") == f"{LONG}\nEnd"
+
+
+@pytest.mark.parametrize("name", ["comment", "comment-body depth-1", "related sponsored"])
+def test_articles_of_readers_beside_the_post(name):
+    post = f'<article class="post comments-open"><p>{LONG}</p><p>{LONG}</p><p>End</p></article>'
+    other = f'<article class="{name}"><p>{LONG}</p></article>'
+    assert main_text(f"<body>{post}{other}</body>") == f"{LONG}\n{LONG}\nEnd"
+    assert main_text(f'<body><article class="{name}"><p>{LONG}</p><p>End</p></article></body>') == f"{LONG}\nEnd"
+
+
+@pytest.mark.parametrize("name", ["sidebar", "related", "notice", "site-notice", "right-side"])
+def test_long_marked_text_beside_the_article(name):
+    side = f'<div class="{name}"><p>{LONG}</p></div>'
+    assert main_text(f"<body><article><p>{LONG}</p><p>{LONG}</p></article>{side}</body>") == f"{LONG}\n{LONG}"
+    assert main_text(f"<body><div id=c><p>{LONG}</p><p>{LONG}</p></div>{side}</body>") == f"{LONG}\n{LONG}"
+
+
+def test_most_of_the_text_voids_a_mark_without_article():
     assert main_text(f"<div class=no-sidebar><p>{LONG}</p><p>Part</p></div><div class=left-menu>x</div>") == f"{LONG}\nPart"
 
 
