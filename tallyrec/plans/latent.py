@@ -32,31 +32,34 @@ def label_of(params: AlsParams) -> str:
     return f"{params.rank}-{params.reg}-{params.alpha}"
 
 
-def fitted_lists(
-    source: AlsInput, points: Sequence[AlsParams], k: int, export: str | None = None
-) -> DataFrame:
-    """(model, rank_dim, reg, alpha, user_id, rank, item_id, score) of every grid point.
+def point_lists(source: AlsInput, p: AlsParams, k: int, export: str | None = None) -> tuple[DataFrame, dict]:
+    """(model, rank_dim, reg, alpha, user_id, rank, item_id, score) of one grid point, and the seconds of its fit.
 
-    Each fit is distributed; the loop only walks the grid. The lists of a point
-    are staged before the next fit, so its factors need not stay in memory.
-    ``export`` names a folder to leave the factors of every point in, by model.
+    ``export`` names a folder to leave the point's factors in, by model. The lists are lazy but for the
+    factors they are searched in, which are stored.
     """
-    tables = []
-    for p in points:
-        fit = fit_als(source, p)
-        if export:
-            write_artifact(user_factors(fit), export, f"als-user-factors-{label_of(p)}")
-            write_artifact(item_factors(fit), export, f"als-item-factors-{label_of(p)}")
-        lists = recommend(fit, k).select(
-            F.lit(label_of(p)).alias("model"),
-            F.lit(p.rank).alias("rank_dim"),
-            F.lit(float(p.reg)).alias("reg"),
-            F.lit(float(p.alpha)).alias("alpha"),
-            "user_id", "rank", "item_id", "score",
-        )
-        tables.append(materialise(lists, "als-lists"))
-        release(fit)
-    return reduce(DataFrame.unionByName, tables)
+    start = time.monotonic()
+    fit = fit_als(source, p)
+    seconds = time.monotonic() - start
+    if export:
+        write_artifact(user_factors(fit), export, f"als-user-factors-{label_of(p)}")
+        write_artifact(item_factors(fit), export, f"als-item-factors-{label_of(p)}")
+    lists = recommend(fit, k).select(
+        F.lit(label_of(p)).alias("model"),
+        F.lit(p.rank).alias("rank_dim"),
+        F.lit(float(p.reg)).alias("reg"),
+        F.lit(float(p.alpha)).alias("alpha"),
+        "user_id", "rank", "item_id", "score",
+    )
+    release(fit)
+    return lists, {"fit_seconds": seconds}
+
+
+def fitted_lists(source: AlsInput, points: Sequence[AlsParams], k: int) -> DataFrame:
+    """The lists of every grid point, stored one after the other; each fit is distributed."""
+    return reduce(
+        DataFrame.unionByName, [materialise(point_lists(source, p, k)[0], "als-lists") for p in points]
+    )
 
 
 def als_metrics(

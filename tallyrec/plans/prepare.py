@@ -26,8 +26,12 @@ def count_log(log: DataFrame) -> Counted:
     return Counted(counts, materialise(user_activity(counts, ["kind"]), "activity"))
 
 
+def split_rows(log: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:
+    """(split, user_id, item_id, n), to be written by the caller."""
+    counted = count_log(log)
+    return split_counts(counted.counts, counted.activity, params)
+
+
 def prepare_splits(log: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:
     """Stage table (split, user_id, item_id, n), partitioned by split."""
-    counted = count_log(log)
-    splits = split_counts(counted.counts, counted.activity, params)
-    return materialise(splits, "splits", partition_by="split")
+    return materialise(split_rows(log, params), "splits", partition_by="split")

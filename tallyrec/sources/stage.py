@@ -9,10 +9,14 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+#: Paths given out inside each open :func:`temporary_stages`.
+_given: list[list[str]] = []
 
 
 @functools.cache
@@ -33,7 +37,25 @@ def stage_root(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the stage root that no other run uses."""
-    return f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _given:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Stage tables written inside are removed at the end; nothing lazy may read them afterwards."""
+    paths: list[str] = []
+    _given.append(paths)
+    try:
+        yield
+    finally:
+        _given.remove(paths)
+        files = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            at = files.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialise(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
