@@ -31,6 +31,7 @@ from tallyrec.operators.interactions import (
     table_shapes,
     user_activity,
 )
+from tallyrec.operators.linked import linked_items
 from tallyrec.operators.metrics import evaluate
 from tallyrec.operators.popularity import (
     active_items,
@@ -464,6 +465,12 @@ def normalised_item_keys(spark, sf_dir):
     )
 
 
+@_query
+def linked_item_ids(spark, sf_dir):
+    """Submissions linked by canonical key or by name, through any number of others."""
+    return linked_items(fixtures.submissions(spark, sf_dir))
+
+
 # --- artifacts ------------------------------------------------------------------
 
 

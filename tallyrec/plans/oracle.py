@@ -253,6 +253,28 @@ encoded AS (
   FROM keyed_log LEFT JOIN items USING (recording_msid) LEFT JOIN u USING (user_id))"""
 
 
+#: Links of every submission with the first of its keys, then everything within reach.
+_LINKED = r"""WITH RECURSIVE submissions AS (
+  SELECT concat('m-', p_partkey) AS msid,
+         CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN NULL
+              WHEN p_partkey % 9 = 0 THEN 'b-hot' ELSE concat('b-', p_partkey // 4) END AS mbid,
+         regexp_replace(lower(CASE WHEN p_partkey % 11 = 0 THEN concat('Песня ', p_partkey // 22)
+              WHEN p_partkey % 13 = 0 THEN '!!!' ELSE p_name END), '[^\p{L}\p{N}]+', '', 'g') AS title,
+         regexp_replace(lower(concat(p_brand, '/', p_partkey % 17)), '[^\p{L}\p{N}]+', '', 'g') AS artist
+  FROM part),
+keyed AS (
+  SELECT msid, concat('m', mbid) AS key FROM submissions WHERE mbid IS NOT NULL
+  UNION SELECT msid, concat('n', title, '|', artist) FROM submissions WHERE title <> '' AND artist <> ''),
+star AS (SELECT msid AS x, min(msid) OVER (PARTITION BY key) AS y FROM keyed),
+edge AS (SELECT x, y FROM star UNION SELECT y, x FROM star),
+reach AS (
+  SELECT msid AS x, msid AS y FROM submissions
+  UNION SELECT r.x, e.y FROM reach r JOIN edge e ON e.x = r.y),
+linked AS (SELECT x AS recording_msid, min(y) AS linked_key FROM reach GROUP BY x),
+numbered AS (
+  SELECT linked_key, row_number() OVER (ORDER BY md5(linked_key)) AS track_id
+  FROM (SELECT DISTINCT linked_key FROM linked))
+SELECT recording_msid, linked_key, track_id FROM linked JOIN numbered USING (linked_key)"""
 #: Ten best products of every vector with all of them.
 _ALL_PRODUCTS = """WITH pairs AS (
   SELECT a.vec_id AS query_id, b.vec_id AS item_id,
@@ -408,6 +430,7 @@ SELECT recording_msid,
        concat(regexp_replace(lower(track_name), '[^a-z0-9]+', '', 'g'),
               regexp_replace(lower(artist_name), '[^a-z0-9]+', '', 'g')) AS concat_id
 FROM tracks""",
+        "linked_item_ids": _LINKED,
         "artifact_round_trip": f"""WITH {ORDERS}, {COUNTS}
 SELECT kind, count(*) AS pairs, CAST(sum(n) AS BIGINT) AS events FROM counts GROUP BY kind""",
         "partitioned_truth": f"""WITH {_splits(EVENTS)}, {_truth()}
