@@ -32,8 +32,11 @@ from pyspark.sql import DataFrame
 from tallyrec.llm.batches import map_arrow, text_groups
 
 MARK = "▁"
-#: Words remembered by a worker; beyond that the table starts afresh.
-CACHE_WORDS = 600_000
+#: Bytes of the words that a worker remembers (beyond them the table starts afresh), the longest word
+#: among them, and about what an entry takes besides its text and its ids.
+TABLE_BYTES = 96 << 20
+LONGEST = 64
+_ENTRY_BYTES = 200
 #: Strings longer than this use the heap.
 _WIDE = 32
 _NEVER = np.int32(2**31 - 1)
@@ -109,6 +112,7 @@ class PieceModel:
         self.starts_word = np.zeros(size, dtype=bool)
         self.starts_word[[i for p, i in normal.items() if p[0] == MARK]] = True
         self.cache: dict[str, bytes] = {}
+        self.held = 0
 
     # -- encoding ---------------------------------------------------------
 
@@ -264,18 +268,29 @@ class PieceModel:
         newline = np.array([self.byte_ids[10]], dtype="<u4").tobytes()
         for key, ids in zip(keys, found, strict=True):
             self.cache[key] = newline + ids if key[:1] == "\n" else ids
+            self.held += _ENTRY_BYTES + 2 * len(key) + len(ids)
         return wrong
 
+    def _trim(self, new: Iterable[str]) -> None:
+        """Forgets long words, and all of them if the table is full."""
+        for key in new:
+            if len(key) > LONGEST:
+                self.held -= _ENTRY_BYTES + 2 * len(key)
+                del self.cache[key]
+        if self.held > TABLE_BYTES:
+            self.cache.clear()
+            self.held = 0
+
     def encode_texts(self, texts: list[str | None]) -> tuple[list[bytes], int]:
         """Ids of whole texts with begin and end; and the number of corrected words."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
         split = [self._words(t) if t else [] for t in texts]
         missing = set().union(*split) - self.cache.keys()
         wrong = self._learn(list(missing)) if missing else 0
         begin, end = (np.array([i], dtype="<u4").tobytes() for i in (self.begin, self.end))
         get = self.cache.__getitem__
-        return [begin + b"".join(map(get, words)) + end for words in split], wrong
+        found = [begin + b"".join(map(get, words)) + end for words in split]
+        self._trim(missing)
+        return found, wrong
 
     # -- decoding ---------------------------------------------------------
 

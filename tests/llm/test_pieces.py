@@ -44,11 +44,11 @@ def test_decoding_equals_library(model):
 
 
 def test_table_is_bounded(model, monkeypatch):
-    monkeypatch.setattr("tallyrec.llm.pieces.CACHE_WORDS", 5)
-    for text in ("a b c d e f g", "h i j", "a b"):
+    monkeypatch.setattr("tallyrec.llm.pieces.TABLE_BYTES", 1500)
+    for text in ("a b c d e f g", "h i j", "a b", "漢" * 3000, "漢字" * 2000 + " a"):
         ids, _ = model.encode_texts([text])
         assert np.frombuffer(ids[0], "<u4").tolist()[1:-1] == model.library.encode(text)
-    assert len(model.cache) < 20
+        assert len(model.cache) < 20 and max(map(len, model.cache), default=0) <= 64
 
 
 def test_query_rows(spark, documents, model):
