@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrec.llm.batches import arrow_rows, map_arrow
-from tallyrec.llm.graph import components
+from tallyrec.operators.components import components
 from tallyrec.sources.stage import materialise
 
 TABLES = 5
@@ -270,6 +270,19 @@ def _local_roots(a: np.ndarray, b: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         root = new
 
 
+def _block_pairs(cells: DataFrame, key: list[str]) -> DataFrame:
+    """(key.., i, j, left, right): every pair i < j of a bucket's blocks, each dealt out by itself."""
+    after = F.sequence(F.col("part") + 1, F.col("blocks") - 1)
+    before = F.sequence(F.lit(0).cast("bigint"), F.col("part") - 1)
+    one = cells.where("part < blocks - 1").select(
+        *key, F.col("part").alias("i"), F.explode(after).alias("j"), F.col("members").alias("left")
+    )
+    two = cells.where("part > 0").select(
+        *key, F.explode(before).alias("i"), F.col("part").alias("j"), F.col("members").alias("right")
+    )
+    return one.join(two, [*key, "i", "j"])
+
+
 def near_vectors(
     df: DataFrame,
     id_column: str,
@@ -314,9 +327,7 @@ def near_vectors(
         "slot", "bucket", F.lit(True).alias("same"), F.col("members").alias("left"), F.lit(None).alias("right")
     )
     some = cells.where("blocks > 1")
-    one = some.select(*key, F.col("part").alias("i"), F.col("members").alias("left"))
-    two = some.select(*key, F.col("part").alias("j"), F.col("members").alias("right"))
-    between = one.join(two, key).where("i < j").select("slot", "bucket", F.lit(False).alias("same"), "left", "right")
+    between = _block_pairs(some, key).select("slot", "bucket", F.lit(False).alias("same"), "left", "right")
     within = within.withColumn("right", F.col("right").cast(between.schema["right"].dataType))
     with arrow_rows(df.sparkSession, CELLS_AT_ONCE):
         found = materialise(

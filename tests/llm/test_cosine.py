@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from tallyrec.llm.cosine import hadamard, near_vectors
+from pyspark.sql import functions as F
+
+from tallyrec.llm.cosine import _block_pairs, hadamard, near_vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -76,3 +78,12 @@ def test_transform_keeps_lengths():
 
 def test_empty_table(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA), "vec_id", "embedding", "label").count() == 0
+
+
+def test_block_pairs_of_one_bucket_spread(spark):
+    cells = spark.range(100).selectExpr("1 as bucket", "id as part", "cast(100 as bigint) as blocks", "id as members")
+    cells = cells.where("part <> 50")  # a block that no vector fell into
+    pairs = _block_pairs(cells, ["bucket"]).repartition(16, "bucket", "i", "j")
+    found = pairs.select("i", "j", "left", "right", F.spark_partition_id().alias("p")).collect()
+    assert sorted((r.i, r.j) for r in found) == sorted((i, j) for j in range(100) for i in range(j) if 50 not in (i, j))
+    assert all((r.i, r.j) == (r.left, r.right) for r in found) and len({r.p for r in found}) == 16

@@ -64,6 +64,6 @@ def test_good_documents_stay(spark):
 def test_registered():
     names = entry.queries().keys()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert entry.oracle_sql().keys() <= names
