@@ -8,7 +8,8 @@ of the lower bounds, and of the scores found in earlier blocks, is a threshold;
 whose upper bound is below it are dropped and the survivors are compacted.
 
 Queries meet candidates block by block: each candidate block is sent once to every query
-block, and a task keeps k entries per query over all blocks it sees.
+block, and a task keeps k entries per query over all blocks it sees. Work is dealt out by query
+block and slice of the candidate blocks, so few queries against many vectors are many tasks too.
 
 Vectors are turned to integers first, floor(scale * x); scores are exact integers.
 
@@ -36,8 +37,9 @@ from tallyrec.sources.stage import materialise
 BLOCK = 4096
 QUERIES = 256
 GROUP = 8
-#: Blocks handed to Python at once.
+#: Blocks handed to Python at once, and the most candidate blocks of a cell.
 BLOCKS_AT_ONCE = 4
+CELL_BLOCKS = 256
 _EXACT = 2.0**52
 _LONG = 2.0**63
 
@@ -138,6 +140,27 @@ def _columns(kind: str, data: bytes, width: int) -> np.ndarray:
     return np.frombuffer(data, f"<{kind}").reshape(width, -1)
 
 
+def _met(candidates: DataFrame, asks: DataFrame, blocks: int) -> DataFrame:
+    """Every query block with every candidate block, dealt out by query block and slice of the candidates.
+
+    A cell is one query block and some candidate blocks: two where there are few pairs of blocks, up to
+    ``CELL_BLOCKS`` where there are many. A task has a cell or a few.
+    """
+    spark = candidates.sparkSession
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = 4 * max(width, spark.sparkContext.defaultParallelism)
+    n = max(1, candidates.count())
+    blocks_a_cell = min(CELL_BLOCKS, max(2, n * blocks // slots))
+    slices = -(-n // blocks_a_cell)
+    tasks = min(blocks * slices, slots)
+    part = F.pmod(F.xxhash64("ids"), F.lit(slices))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(slices - 1).cast("bigint")))
+    left = candidates.withColumn("slice", part).withColumn("ask", every).repartition(tasks, "ask", "slice")
+    right = asks.withColumn("slice", each).repartition(tasks, "ask", "slice")
+    return left.join(right, ["ask", "slice"]).select("ask", "queries", "width", "ids", "kind", "data")
+
+
 def top_products(
     df: DataFrame,
     id_column: str,
@@ -157,11 +180,7 @@ def top_products(
         .agg(F.collect_list(F.struct("id", "v")).alias("queries"))
     )
     candidates = materialise(_vector_rows(vectors, "id", "v", scale), "topk-blocks")
-    met = (
-        candidates.withColumn("ask", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-        .join(asks, "ask")
-        .select("ask", "queries", "width", "ids", "kind", "data")
-    )
+    met = _met(candidates, asks, blocks)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, list[tuple[int, int]]] = {}  # by query: heap of (score, -id)

@@ -40,6 +40,17 @@ def test_equals_brute_force(spark, monkeypatch, block, queries):
     assert sorted(map(tuple, got)) == brute(rows)
 
 
+def test_one_query_block_uses_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 8)
+    rows = [(i, [float(i % 7), 1.0], 1) for i in range(256)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(1)
+    blocks = topk.materialise(topk._vector_rows(df, "vec_id", "embedding", 256.0), "test-blocks")
+    assert blocks.count() == 32
+    asks = df.where("vec_id = 0").selectExpr("cast(0 as bigint) ask", "array(struct(vec_id as id, embedding as v)) queries")
+    met = topk._met(blocks, asks, 1).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert sum(r["count"] for r in met) == 32 and len(met) >= 8 and max(r["count"] for r in met) <= 12
+
+
 def test_oracle(spark):
     import duckdb
 
