@@ -8,7 +8,8 @@
 The first three return the columns of documents, rows as they are. Each stage's result
 is written to the shared checkpoint folder and read again, so a lost executor costs no
 finished stage. Null texts and texts without a letter go at stage 1; empty tables pass
-through as empty; repeated ids leave stage 3 once.
+through as empty; rows that share an id are told apart by their texts at stage 3: of equal or
+linked ones one stays.
 """
 
 from __future__ import annotations
