@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyrec.config import AlsParams
 from tallyrec.operators.factors import als_input, fit_als, recommend
-from tallyrec.operators.pruned import pruned_topk
+from tallyrec.operators.pruned import pruned_topk, rounds_of
 from tallyrec.operators.search import exact_topk
 
 
@@ -67,3 +67,14 @@ def test_recommend_takes_it_for_large_catalogues(spark):
         assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
     mine = [r.item_id for r in recommend(fit, 12, True, block_items=16).where("user_id = 99").collect()]
     assert len(mine) == len({i for _, i, _ in pairs} - set(range(140))) and not set(mine) & set(range(140))
+
+
+def test_a_query_is_sent_once_per_cell_of_blocks(spark):
+    blocks = [(b, 10.0 - b, 5) for b in range(11)]
+    cells = [[[b for b, _, _ in cell] for cell in cells] for cells in rounds_of(blocks, 12)]
+    assert cells == [[[0]], [[1]], [[2, 3]], [[4, 5], [6, 7]], [[8, 9], [10]]]
+    assert rounds_of(blocks, 1) == [[[b] for b in blocks[low:high]] for low, high in ((0, 1), (1, 2), (2, 4), (4, 8), (8, 11))]
+    queries, items = vectors(spark, 30, "query_id", 6), vectors(spark, 120, "item_id", 7)
+    found = pruned_topk(queries.withColumn("name", F.col("query_id") * 2), items, 4, block_items=5, block_rows=20, carried=["name"])
+    assert rows(found.lists) == rows(exact_topk(queries, items, 4))
+    assert found.lists.where("name = 2 * query_id").count() == 30 * 4
