@@ -19,6 +19,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyrec.operators.ranking import TASK_ROWS, tasks_of
 from tallyrec.schemas import require_columns, unique_by
 
 
@@ -32,6 +33,7 @@ def evaluate(
     values: Sequence[object] = (),
     population: str = "truth",
     list_size: int = 100,
+    task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """One row of metrics per ``groups`` (and per ``model`` value).
 
@@ -42,6 +44,7 @@ def evaluate(
     gets its row of zeros. ``population`` says which users are averaged over:
     every user with ground truth, or ("both") those who also have a list, of the
     model at hand if there are several; a model without any such user has no row.
+    Per-user lists are counted first and joined in tasks of about ``task_rows`` list rows.
     """
     require_columns(truth, [*groups, "user_id", "item_id"], "evaluate: truth")
     require_columns(lists, ["rank", "item_id", *([model] if model else [])], "evaluate: lists")
@@ -56,9 +59,12 @@ def evaluate(
     # branch below reads the same shuffled data
     truth = truth.where(" and ".join(f"{c} is not null" for c in ["user_id", *groups]))
     sizes = truth.groupBy("user_id", *groups).agg(F.count("item_id").alias("_m"))
-    listed = unique_by(
-        lists.where(F.col("rank") <= list_size), [*models, *owner, "item_id"], ["rank"], "list item"
-    )
+    listed, pairs = lists.where(F.col("rank") <= list_size), truth.select(*groups, "user_id", "item_id")
+    if per_user:
+        # dealt out by the rows of the lists: grouping them before a shuffle would hold every row of a task and merge none
+        tasks = tasks_of(lists, lists.count(), task_rows)
+        listed, pairs = (side.repartition(tasks, *owner, "item_id") for side in (listed, pairs))
+    listed = unique_by(listed, [*models, *owner, "item_id"], ["rank"], "list item")
     counted = sizes
     if per_user:
         if population == "both":
@@ -68,7 +74,7 @@ def evaluate(
     else:
         # list_size rows per model value and shared group, all named by the caller
         listed = F.broadcast(listed)
-    hits = truth.select(*groups, "user_id", "item_id").join(listed, [*owner, "item_id"])
+    hits = pairs.join(listed, [*owner, "item_id"])
 
     scored = _user_sums(hits, ["user_id", *groups, *models], ks).join(
         sizes, ["user_id", *groups]

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from tallyrec.operators.popularity import (
     active_items,
     damped_vote_lists,
@@ -75,3 +77,23 @@ def test_unseen_lists_are_whole(spark):
         for user in (1, 2, 3, 4, 5):
             had = {i for u, i in train if u == user}
             assert got.get(user, []) == [i for i in order if i not in had][:k]
+
+
+def test_unseen_lists_take_more_tasks_as_they_grow(spark):
+    """Few bytes become k rows a user, so the bytes must not decide over the tasks."""
+    df = spark.createDataFrame([(u, u % 7, 1) for u in range(400)] * 2, COUNTS)
+    lists = unseen_lists(rank_items(item_popularity(df), "users"), df, 5, task_rows=100)
+    parts = {r._p: r["count"] for r in lists.groupBy(F.spark_partition_id().alias("_p")).count().collect()}
+    assert len(parts) > 10 and max(parts.values()) < 400
+    assert lists.count() == 400 * 5
+
+
+def test_unseen_lists_with_repeated_pairs_and_a_hot_user(spark):
+    rng = random.Random(8)
+    rows = [(u, i) for u in range(20) for i in rng.sample(range(200), 6)] + [(77, i) for i in range(200) if i % 9]
+    df = spark.createDataFrame([(u, i, 1) for u, i in sorted(rows)], COUNTS)
+    twice = df.unionByName(df.where("item_id % 2 = 0")).unionByName(spark.createDataFrame([(3, None, 1)], COUNTS))
+    ranked = rank_items(item_popularity(df), "users")
+    want = sorted(map(tuple, unseen_lists(ranked, df, 9, 50, 1000).collect()))
+    for slices, head in ((16, 30), (7, 0), (1000, 1000), (16, 150)):
+        assert sorted(map(tuple, unseen_lists(ranked, twice, 9, slices, head).collect())) == want
