@@ -1,9 +1,14 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallyrec.config import SearchParams
+from tallyrec.functions import blocks
 from tallyrec.operators.search import (
+    block_counts,
     exact_topk,
     hash_vectors,
     lsh_topk,
@@ -113,3 +118,47 @@ def test_unsound_vectors_are_refused(spark, bad):
     items = spark.createDataFrame([(0, [1.0, 2.0]), (1, bad)], "item_id long, features array<float>")
     with pytest.raises(Exception, match="null, ragged or not finite"):
         exact_topk(good, items.coalesce(1), 1).collect()
+
+
+def test_items_are_cut_too_so_that_less_is_sent():
+    """200 tasks over as many queries as items: cutting the queries alone would send the items 200 times."""
+    sent = {n: sum(block_counts(n, n, 10, 100_000, 200, cut_items=True)) for n in (100_000, 600_000)}
+    assert max(sent.values()) < 50 and sent[600_000] <= 1.5 * sent[100_000]
+    assert block_counts(100_000, 100_000, 10, 100_000, 200) == (200, 1)
+    q_parts, i_parts = block_counts(1_000_000, 250_000, 10, 100_000, 200, cut_items=True)
+    assert q_parts >= 10 and i_parts >= 3 and q_parts * i_parts >= 200
+
+
+def test_vectors_are_stored_once_and_shuffled_once(spark, vectors):
+    q, i = frame(spark, "query_id", vectors[0]), frame(spark, "item_id", vectors[1])
+    hashed = hash_vectors(q, i, SearchParams(tables=6, hashes=2, width=0.5))
+    for side, n in zip(hashed, (90, 300)):
+        assert side.count() == 6 * n
+        assert sum(spark.read.parquet(f).count() for f in side.inputFiles()) == n
+    plan = search_buckets(*hashed, 5)._jdf.queryExecution().sparkPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    # the vectors' joins; the other kind joins the counts of crowded buckets
+    assert sum("LeftOuter" in j and "BroadcastHashJoin" in j for j in joins) == 2
+    assert all("FullOuter" in j for j in joins if "SortMergeJoin" in j)
+
+
+def test_slabs_do_not_change_the_lists(vectors, monkeypatch):
+    left = pa.table({"query_id": range(90), "features": [[float(x) for x in v] for v in vectors[0]]})
+    right = pa.table({"item_id": range(300), "features": [[float(x) for x in v] for v in vectors[1]]})
+    whole = blocks.top_products(left, right, 7)
+    monkeypatch.setattr(blocks, "SLAB_CELLS", 1000)
+    assert blocks.top_products(left, right, 7).equals(whole)
+
+
+def test_a_task_holds_few_scores_at_a_time():
+    """Scores, not vectors, were most of what a worker held."""
+    rng = np.random.default_rng(3)
+    sides = [
+        pa.table({name: range(4000), "features": pa.array(list(rng.normal(size=(4000, 8)).astype("f4")))})
+        for name in ("query_id", "item_id")
+    ]
+    tracemalloc.start()
+    blocks.top_products(*sides, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
