@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyrec.operators.ranking import TASK_ROWS, tasks_of
 from tallyrec.schemas import require_columns, unique_by
+from tallyrec.sources.stage import materialise
 
 
 def evaluate(
@@ -44,7 +45,8 @@ def evaluate(
     gets its row of zeros. ``population`` says which users are averaged over:
     every user with ground truth, or ("both") those who also have a list, of the
     model at hand if there are several; a model without any such user has no row.
-    Per-user lists are counted first and joined in tasks of about ``task_rows`` list rows.
+    With per-user lists the truth is stored, both are counted first and joined in tasks of about ``task_rows`` rows of
+    the longer one.
     """
     require_columns(truth, [*groups, "user_id", "item_id"], "evaluate: truth")
     require_columns(lists, ["rank", "item_id", *([model] if model else [])], "evaluate: lists")
@@ -58,11 +60,14 @@ def evaluate(
     # rows without a user are nobody's ground truth; said once, so that every
     # branch below reads the same shuffled data
     truth = truth.where(" and ".join(f"{c} is not null" for c in ["user_id", *groups]))
+    if per_user:
+        truth = materialise(truth.select(*groups, "user_id", "item_id"), "truth")
     sizes = truth.groupBy("user_id", *groups).agg(F.count("item_id").alias("_m"))
     listed, pairs = lists.where(F.col("rank") <= list_size), truth.select(*groups, "user_id", "item_id")
     if per_user:
-        # dealt out by the rows of the lists: grouping them before a shuffle would hold every row of a task and merge none
-        tasks = tasks_of(lists, lists.count(), task_rows)
+        # dealt out by their rows: grouping lists before a shuffle would hold every row of a task and merge none, and
+        # short lists can meet many times as much truth
+        tasks = tasks_of(lists, max(lists.count(), truth.count()), task_rows)
         listed, pairs = (side.repartition(tasks, *owner, "item_id") for side in (listed, pairs))
     listed = unique_by(listed, [*models, *owner, "item_id"], ["rank"], "list item")
     counted = sizes

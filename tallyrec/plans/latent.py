@@ -21,8 +21,8 @@ from tallyrec.operators.factors import (
 )
 from tallyrec.operators.forest import forest_topk
 from tallyrec.operators.metrics import evaluate
-from tallyrec.operators.ranking import ground_truth
 from tallyrec.operators.search import lsh_topk
+from tallyrec.plans.prepare import split_truth
 from tallyrec.plans.sweep import sample_pairs
 from tallyrec.sources.stage import materialise
 from tallyrec.sources.tables import write_artifact
@@ -71,7 +71,7 @@ def als_metrics(
 ) -> DataFrame:
     """Metrics of one fit on train, val and test, over users with list and ground truth."""
     lists = materialise(recommend(fit_als(als_input(_train(splits)), params), list_size), "als-lists")
-    truth = ground_truth(splits, list_size)
+    truth = split_truth(splits, list_size)
     return evaluate(truth, lists, ks=ks, population=population, list_size=list_size)
 
 
@@ -80,7 +80,7 @@ def als_grid(splits: DataFrame, grid: AlsGrid = AlsGrid(), list_size: int = 100)
     points = grid.points()
     lists = fitted_lists(als_input(_train(splits)), points, list_size)
     scores = evaluate(
-        ground_truth(splits, list_size), lists, ks=(), model="model",
+        split_truth(splits, list_size), lists, ks=(), model="model",
         values=[label_of(p) for p in points], population="both", list_size=list_size,
     )
     settings = splits.sparkSession.createDataFrame(
@@ -102,7 +102,7 @@ def als_size_sweep(
 ) -> DataFrame:
     """(fraction, train_rows, fit_seconds, users, map): ALS on growing samples."""
     train = _train(splits)
-    truth = ground_truth(splits.where(F.col("split") == split), list_size)
+    truth = split_truth(splits.where(F.col("split") == split), list_size)
     rows = []
     for fraction in fractions:
         source = als_input(sample_pairs(train, fraction))
@@ -175,7 +175,7 @@ def lsh_map(
     users = materialise(user_factors(fit), "user-factors")
     items = materialise(item_factors(fit), "item-factors")
     lists = searched_lists(users, items, searches, list_size)
-    return search_scores(ground_truth(splits, list_size), lists, searches, list_size)
+    return search_scores(split_truth(splits, list_size), lists, searches, list_size)
 
 
 def _train(splits: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from tallyrec.operators.metrics import evaluate
 from tallyrec.operators.popularity import damped_vote_lists, popularity_list
 from tallyrec.operators.ranking import ground_truth
 from tallyrec.operators.split import hashed_rank, ntile_of
+from tallyrec.plans.prepare import split_truth
 from tallyrec.sources.stage import materialise
 
 
@@ -30,7 +31,7 @@ def beta_sweep(
     train = splits.where("split = 'train'").drop("split")
     lists = damped_vote_lists(train, vote.betas, vote.item_percentile, list_size)
     return evaluate(
-        ground_truth(splits, list_size), lists, ks=ks, model="beta", values=vote.betas,
+        split_truth(splits, list_size), lists, ks=ks, model="beta", values=vote.betas,
         list_size=list_size,
     )
 
@@ -119,7 +120,7 @@ def size_sweep(
         "fraction is not null"
     )
     lists = popularity_list(sampled, list_size, by=["fraction"])
-    truth = ground_truth(splits.where(F.col("split") == split), list_size)
+    truth = split_truth(splits.where(F.col("split") == split), list_size)
     scores = evaluate(
         truth, lists, ks=(), model="fraction", values=[float(f) for f in fractions],
         list_size=list_size,

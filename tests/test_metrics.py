@@ -1,12 +1,15 @@
 """Metrics against hand-made cases and against Spark's own implementations."""
 
 import random
+import re
 
 import pytest
 from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.mllib.evaluation import RankingMetrics
+from pyspark.sql import functions as F
 
 from tallyrec.operators.metrics import evaluate
+from tallyrec.operators.ranking import ground_truth
 
 
 def truth_of(spark, by_user):
@@ -126,3 +129,23 @@ def test_each_model_answers_for_its_own_users(spark):
     )
     got = evaluate(truth, lists, ks=(), model="model", values=["a", "b", "c"], population="both").collect()
     assert {r["model"]: (r["users"], r["map"]) for r in got} == {"a": (1, 1.0), "b": (2, 0.5)}
+
+
+def test_short_lists_are_met_by_long_truth_in_more_tasks(spark):
+    """One list row a user meets 30 rows of truth: the longer side decides over the tasks."""
+    truth = {u: [u, *range(1000, 1029)] for u in range(20)}
+    df = evaluate(truth_of(spark, truth), user_lists(spark, {u: [u] for u in range(20)}), ks=(1,), task_rows=50)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(user_id#\d+L, item_id#\d+L, (\d+)\), REPARTITION_BY_NUM", plan)
+    assert len(dealt) == 2 and set(dealt) == {"12"}
+    got = one(df)
+    assert (got["users"], got["precision_at_1"]) == (20, 1.0)
+
+
+def test_truth_of_per_user_lists_is_stored(spark):
+    """It is counted, sized, joined: none of these ranks it once more."""
+    ranked = ground_truth(truth_of(spark, {1: [1, 2], 2: [3]}).withColumn("n", F.lit(1)), 1)
+    df = evaluate(ranked, user_lists(spark, {1: [2, 1], 2: [3]}), ks=())
+    # what is left numbers hits, not rows of the truth
+    assert "WindowGroupLimit" not in df._jdf.queryExecution().executedPlan().toString()
+    assert one(df)["map"] == 0.75
