@@ -162,3 +162,51 @@ def test_a_task_holds_few_scores_at_a_time():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 80e6
+
+
+def doubles(left, right, k, monkeypatch):
+    """The lists without the first look in single precision."""
+    with monkeypatch.context() as m:
+        m.setattr(blocks.Coarse, "of", staticmethod(lambda items: None))
+        return blocks.top_products(left, right, k)
+
+
+@pytest.mark.parametrize("kind", ["normal", "whole", "far", "seen", "tiny"])
+def test_single_precision_only_finds_the_candidates(kind, monkeypatch):
+    rng = np.random.default_rng(9)
+    q, i = rng.normal(size=(30, 5)), rng.normal(size=(5000, 5)) * rng.uniform(0.01, 3, size=(5000, 1))
+    if kind == "whole":  # many ties
+        q, i = np.round(2 * q), np.round(2 * i)
+    if kind == "far":  # no product comes near the longest vector
+        i[0], q[:, 0] = [1e9, 0, 0, 0, 0], -np.abs(q[:, 0])
+    if kind == "tiny":
+        q, i = q * 1e-120, i * 1e-120
+    q[3] = 0
+    left = pa.table({"query_id": range(30), "features": list(q)})
+    right = pa.table({"item_id": rng.permutation(5000), "features": list(i)})
+    if kind == "seen":
+        lists = pa.array([list(range(n * 100)) for n in range(30)], pa.list_(pa.int64()))
+        left = left.append_column("seen", lists)
+    looked = []
+    tops = blocks.Coarse.tops
+    monkeypatch.setattr(blocks.Coarse, "tops", lambda *a: looked.append(tops(*a)) or looked[-1])
+    monkeypatch.setattr(blocks, "SLAB_CELLS", 10_000)
+    found, want = blocks.top_products(left, right, 20), doubles(left, right, 20, monkeypatch)
+    assert found.drop_columns("score").equals(want.drop_columns("score"))
+    assert np.allclose(found["score"], want["score"], rtol=1e-11, atol=0)
+    if kind in ("normal", "seen"):
+        assert sum(x is not None for x in looked) >= len(looked) - 2
+
+
+def test_a_block_of_all_items_gives_whole_lists_that_nothing_merges(spark, vectors):
+    q, i = frame(spark, "query_id", vectors[0]), frame(spark, "item_id", vectors[1])
+    plan = exact_topk(q, i, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Window" not in plan
+    merged = exact_topk(q, i, 5, block_rows=50)
+    assert "Window" in merged._jdf.queryExecution().executedPlan().toString()
+    # rows that share an id have one list
+    twice = q.unionByName(q.where("query_id < 40").withColumn("query_id", (F.col("query_id") / 2).cast("long")))
+    for side in (q, twice):
+        whole, parts = exact_topk(side, i, 5), exact_topk(side, i, 5, block_rows=50)
+        assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+        assert whole.columns == parts.columns == ["query_id", "rank", "item_id", "score"]
