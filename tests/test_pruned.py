@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,8 @@ from tallyrec.config import AlsParams
 from tallyrec.operators.factors import als_input, fit_als, recommend
 from tallyrec.operators.pruned import pruned_topk, rounds_of
 from tallyrec.operators.search import exact_topk
+from tallyrec.plans.catalog import _different_rows, _pruned_against_exact
+from tallyrec.sources import stage
 
 
 def vectors(spark, n, name, seed, spread=2.0, dims=6, whole=False):
@@ -78,3 +81,29 @@ def test_a_query_is_sent_once_per_cell_of_blocks(spark):
     found = pruned_topk(queries.withColumn("name", F.col("query_id") * 2), items, 4, block_items=5, block_rows=20, carried=["name"])
     assert rows(found.lists) == rows(exact_topk(queries, items, 4))
     assert found.lists.where("name = 2 * query_id").count() == 30 * 4
+
+
+def test_users_are_compared_in_slices_that_leave_nothing(spark, monkeypatch):
+    """A slice's tables are gone before the next is searched; the sums are those of one slice."""
+    users, items = vectors(spark, 80, "query_id", 8), vectors(spark, 300, "item_id", 9)
+    given, alive = [], []
+
+    def path(session, name, fresh=stage.fresh_path):
+        given.append(fresh(session, name))
+        alive.append(sum(Path(p).exists() for p in given))
+        return given[-1]
+
+    monkeypatch.setattr(stage, "fresh_path", path)
+    one = _pruned_against_exact(users, items, 10, 30)
+    whole, given[:], alive[:] = max(alive), [], []
+    many = _pruned_against_exact(users, items, 10, 30, slice_rows=150)
+    assert one == many and one[:3] == (80, 800, 0) and all(one[3:])
+    assert len(given) > 3 * whole and max(alive) <= whole + 1
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_different_rows_are_counted_as_often_as_they_differ(spark):
+    some = spark.createDataFrame([(1, 2.0), (1, 2.0), (2, 1.0), (3, None)], "a long, b double")
+    other = spark.createDataFrame([(1, 2.0), (2, 1.5), (3, None)], "a long, b double")
+    assert _different_rows(some, other) == 3 and _different_rows(some, some) == 0
+    assert _different_rows(some.limit(0), other) == 3 and _different_rows(some.limit(0), other.limit(0)) == 0
